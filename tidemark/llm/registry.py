@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import topk
+from tidemark.llm import decontam, mixing, topk
 
 
 def queries() -> dict:
     return {
+        "op2_decontaminate": decontam.query,
+        "op7_mix_sources": mixing.query,
         "op10_topk_search": topk.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_decontaminate": decontam.ORACLE,
         "op10_topk_search": topk.ORACLE,
     }
