@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, mixing, topk
+from tidemark.llm import decontam, htmltext, mixing, repair, topk, warc
 
 
 def queries() -> dict:
     return {
         "op2_decontaminate": decontam.query,
+        "op3_token_shards": repair.query,
+        "op4_warc_archives": warc.query,
+        "op5_main_text": htmltext.query,
         "op7_mix_sources": mixing.query,
         "op10_topk_search": topk.query,
     }
