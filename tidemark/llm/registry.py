@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, htmltext, mixing, repair, topk, warc
+from tidemark.llm import decontam, htmltext, mixing, neardup, repair, topk, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op4_warc_archives": warc.query,
         "op5_main_text": htmltext.query,
         "op7_mix_sources": mixing.query,
+        "op9_near_duplicates": neardup.query,
         "op10_topk_search": topk.query,
     }
 
@@ -19,5 +20,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontaminate": decontam.ORACLE,
+        "op9_near_duplicates": neardup.ORACLE,
         "op10_topk_search": topk.ORACLE,
     }
