@@ -119,11 +119,12 @@ def _pieces(text: bytes, is_word: np.ndarray) -> Iterator[bytes]:
     yield text[at:]
 
 
-def word_hashes(texts: list[bytes], is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], is_word: np.ndarray, endings: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, one after another, and where each text's words begin.
 
     The second array has len(texts) + 1 entries.  Texts are expected in the
-    letter case in which they are to be compared.
+    letter case in which they are to be compared.  A list given as endings gets
+    arrays of the words' last two bytes (0 for the second last of a one-byte word).
     """
     hashes: list[np.ndarray] = []
     counts = np.zeros(len(texts) + 1, np.int64)
@@ -138,6 +139,9 @@ def word_hashes(texts: list[bytes], is_word: np.ndarray) -> tuple[np.ndarray, np
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
         hashes.append(mixed((total[ends] - total[starts]) * down[starts]))
+        if endings is not None:
+            before = np.where(ends - starts > 1, data[np.maximum(ends - 2, 0)], 0)
+            endings.append(np.stack([before, data[ends - 1]], 1).astype(np.uint8))
         limits = np.cumsum([len(x) + 1 for x in block])
         per = np.diff(np.searchsorted(starts, limits), prepend=0)
         np.add.at(counts, np.asarray(owners) + 1, per)
