@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, hmm, htmltext, mixing, neardup, quality, repair, topk, warc
+from tidemark.llm import decontam, hmm, htmltext, licenses, mixing, neardup, quality, repair, topk, warc
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_main_text": htmltext.query,
         "op6_hmm_score": hmm.query,
         "op7_mix_sources": mixing.query,
+        "op8_license_scan": licenses.query,
         "op9_near_duplicates": neardup.query,
         "op10_topk_search": topk.query,
     }
