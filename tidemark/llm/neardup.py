@@ -70,7 +70,8 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
         out = []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
             if b - a >= SHINGLE:
-                out.append(np.unique(rolled[a : b - SHINGLE + 1]))
+                own = np.sort(rolled[a : b - SHINGLE + 1])
+                out.append(own[np.append(True, own[1:] != own[:-1])])
             elif b > a:
                 short = mixed(np.array([(words[a:b] * _POSITION[: b - a]).sum() + np.uint64(b - a)], np.uint64))
                 out.append(short)
@@ -190,7 +191,7 @@ def _forest(reps: DataFrame) -> DataFrame:
                 new[0] = mark != (int(tree[0]), key[0].tobytes())
                 mark = (int(tree[-1]), key[-1].tobytes())
                 cuts = np.append(np.flatnonzero(new), n)
-                if cuts[0] > 0:
+                if not new[0]:
                     cuts = np.insert(cuts, 0, 0)
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     if new[a]:
@@ -340,10 +341,16 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """docs without the rows whose component has a smaller doc_id; of rows of one doc_id and text one stays."""
-    keep = labelled(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__d")).distinct()
-    rows = docs.filter("doc_id is not null").join(keep, F.col("doc_id").cast("long") == F.col("__d"), "left_semi")
-    return rows.unionByName(docs.filter("doc_id is null"))
+    """docs without the rows whose component has a smaller doc_id; of several rows of one doc_id one stays."""
+    rows = labelled(docs)
+    rows = written(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows")), "kept-documents")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    once = rows.filter("kept").select(F.col("doc_id").alias("__d"), "rows")
+    found = docs.join(once, F.col("doc_id").cast("long") == F.col("__d"))
+    out = found.filter("rows = 1").select(*names).unionByName(docs.filter("doc_id is null"))
+    if not rows.filter("kept and rows > 1").isEmpty():
+        out = out.unionByName(found.filter("rows > 1").dropDuplicates(["__d"]).select(*names))
+    return out
 
 
 def query(spark, sf_dir: str) -> DataFrame:
