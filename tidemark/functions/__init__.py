@@ -1 +1,3 @@
+from tidemark.functions import dates, text
 
+__all__ = ["dates", "text"]
