@@ -48,8 +48,8 @@ LEAST_COUNT = 8
 #: Bits of the bins in which pairs are counted; a full bin stands for one of its pairs.
 PAIR_BITS = 18
 INDEX_STEP = 4096
-#: Chunks of text whose ids a worker remembers.
-MEMO_CHUNKS = 400_000
+#: Words whose ids a worker remembers, in each of two generations.
+MEMO_WORDS = 400_000
 
 _HEAD = struct.Struct("<4s6I")
 
@@ -184,15 +184,18 @@ class Shard:
         return part[skip : skip + count]
 
 
-#: Letters of Latin-1 and then ASCII marks but the apostrophe: a chunk that splits in the same two ways for every letter case.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
+#: Texts of ASCII and of Latin-1 letters, and the tokenizer's own split of such a text in lower case.
+_PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*\Z")
+_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+").findall
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, remembering the ids of chunks between spaces.
+    """Ids of texts by the tokenizers library, remembering the ids of words.
 
-    Whole texts and their chunks have equal ids where the tokenizer drops white
-    space before it splits words (its file says so); other tokenizers encode whole texts.
+    Whole texts and their words have equal ids where the tokenizer drops white
+    space as it splits words by the rule known here (its file says so); other
+    tokenizers encode whole texts.  Words of plain texts go to the library's
+    model, chunks between spaces of other texts to the whole library.
     """
 
     def __init__(self, path: str) -> None:
@@ -207,19 +210,13 @@ class Encoder:
         self.by_chunk = kinds == ["NFC", "Replace", "Lowercase"] and split == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" and not any(x["lstrip"] or x["rstrip"] for x in said["added_tokens"])
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.chunks = _Memo(self._chunk)
-        self.words = _Memo(self._word)
+        self.special = [x["content"] for x in said["added_tokens"]]
+        self.words, self.chunks = _Memo(self._word), _Memo(self._whole)
 
     def _word(self, word: str) -> bytes:
-        if word == "":
-            return b""
         mapped = word if word.isascii() else word.translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
-        if m := _PLAIN.match(chunk):
-            return self.words[m[1].lower()] + self.words[m[2]]
-        return self._whole(chunk)
+        ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if text else b""
@@ -230,23 +227,30 @@ class Encoder:
             return b""
         if not self.by_chunk:
             return self._whole(text)
-        get, out, at = self.chunks.__getitem__, [], 0
+        plain = _PLAIN.match(text) and not any(x in text for x in self.special)
+        get, out, at = (self.words if plain else self.chunks).__getitem__, [], 0
         while at < len(text):  # long texts in pieces that end at a space
             end = len(text) if len(text) - at <= 1 << 20 else text.find(" ", at + (1 << 20))
             end = len(text) if end < 0 else end
-            out.append(b"".join(map(get, text[at:end].replace("\n", " ").split(" "))))
+            piece = text[at:end]
+            out.append(b"".join(map(get, _PIECES(piece.lower()) if plain else piece.replace("\n", " ").split(" "))))
             at = end
         return b"".join(out)
 
 
 class _Memo(dict):
+    """What make() gave for a key; of two generations of MEMO_WORDS keys the older is dropped, so frequent keys stay."""
+
     def __init__(self, make) -> None:
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= MEMO_CHUNKS:
+        if len(self) >= MEMO_WORDS:
+            self.old = dict(self)
             self.clear()
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= 64:
             self[key] = value
         return value
