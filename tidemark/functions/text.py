@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 OUTER_SPACE = r"(?U)^\s+|\s+$"
 #: What counts as a token for the classifier and for topics.
 CLASSIFIER_TOKEN = r"(?U)\b\w\w+\b"
-TOPIC_TOKEN = r"\b[a-zA-Z][a-zA-Z]+\b"
+TOPIC_TOKEN = r"(?U)\b[a-zA-Z][a-zA-Z]+\b"
 
 
 def stripped(text: Column) -> Column:
@@ -45,11 +45,11 @@ def without(words: Column, stop: list[str]) -> Column:
 
 def grams(words: Column, most: int = 2) -> Column:
     """The words and their n-grams up to most words, joined by spaces."""
-    out = words
-    for n in range(2, most + 1):
+    def runs(n: int) -> Column:
         spots = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        out = F.concat(out, F.transform(spots, lambda i, n=n: F.array_join(F.slice(words, i, n), " ")))
-    return out
+        return F.transform(spots, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    return F.concat(words, *[runs(n) for n in range(2, most + 1)])
 
 
 def joined_terms(terms: Column, most: int) -> Column:

@@ -87,6 +87,12 @@ def _edges(bins: int) -> list[float]:
     return [i * (1.0 / bins) if i < bins else 1.0 for i in range(bins + 1)]
 
 
+def _bin(edges: list[float]) -> Column:
+    """Number of edges but the outer ones that confidence reaches: its bin, the last one closed."""
+    inner = F.array(*map(F.lit, edges[1:-1]))
+    return F.size(F.filter(inner, lambda e: e <= F.col("confidence")))
+
+
 def judged(predictions: DataFrame, classes: list[str]) -> DataFrame:
     """truth, probability, confidence, predicted (ties to the first class), correct."""
     p = F.col("probability")
@@ -99,9 +105,7 @@ def calibration_bins(predictions: DataFrame, classes: list[str], bins: int = 10)
     """bin, lower, upper, n, mean_confidence, accuracy of equal bins [lower, upper), the last closed; empty ones included."""
     require(bins > 0, "bins must be positive")
     edges = _edges(bins)
-    c = F.col("confidence")
-    at = F.coalesce(*[F.when((c >= edges[i]) & ((c <= edges[i + 1]) if i == bins - 1 else (c < edges[i + 1])), F.lit(i)) for i in range(bins)])
-    counts = judged(predictions, classes).groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence"), F.avg(F.col("correct").cast("double")).alias("accuracy"))
+    counts = judged(predictions, classes).groupBy(_bin(edges).alias("bin")).agg(F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence"), F.avg(F.col("correct").cast("double")).alias("accuracy"))
     spark = predictions.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     of = lambda k: F.element_at(F.array(*map(F.lit, edges)), F.col("bin") + F.lit(k))
@@ -117,9 +121,7 @@ def calibration_summary(predictions: DataFrame, classes: list[str], bins: int =
     names = F.array(*map(F.lit, classes))
     own = F.element_at("probability", F.array_position(names, F.col("truth")).cast("int"))
     squares = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x * x)
-    c = F.col("confidence")
-    at = F.coalesce(*[F.when((c >= edges[i]) & ((c <= edges[i + 1]) if i == bins - 1 else (c < edges[i + 1])), F.lit(i)) for i in range(bins)])
-    rows = rows.select(at.alias("bin"), "confidence", "correct", F.least(F.greatest(own, F.lit(2.220446049250313e-16)), F.lit(1 - 2.220446049250313e-16)).alias("own"), (squares - 2 * own + 1).alias("brier"))
+    rows = rows.select(_bin(edges).alias("bin"), "confidence", "correct", F.least(F.greatest(own, F.lit(2.220446049250313e-16)), F.lit(1 - 2.220446049250313e-16)).alias("own"), (squares - 2 * own + 1).alias("brier"))
     per_bin = rows.groupBy("bin").agg(
         F.count("*").alias("n"),
         F.sum("confidence").alias("conf"),

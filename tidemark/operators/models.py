@@ -56,7 +56,10 @@ class TextFeatures:
 def fit_features(train: DataFrame, text_col: str, *, min_df: int = 3, max_df: float = 1.0, max_features: int = 50_000, ngram_max: int = 2, pattern: str = CLASSIFIER_TOKEN, stop: list[str] | None = None) -> TextFeatures:
     features = TextFeatures(None, None, pattern, ngram_max, stop or [])
     rows = features.terms(train, text_col)
-    features.counts = CountVectorizer(inputCol="__terms", outputCol="__counts", minDF=float(min_df), maxDF=float(max_df), vocabSize=max_features).fit(rows)
+    counter = CountVectorizer(inputCol="__terms", outputCol="__counts", minDF=float(min_df), vocabSize=max_features)
+    if max_df < 1:  # from 1 on, Spark takes it as a number of documents
+        counter.setMaxDF(float(max_df))
+    features.counts = counter.fit(rows)
     features.idf = IDF(inputCol="__counts", outputCol="__idf").fit(features.counts.transform(rows))
     return features
 
@@ -88,7 +91,7 @@ def predict(model: PipelineModel, df: DataFrame, label_col: str, keep: list[str]
     return out.select(*(keep or []), F.col(label_col).alias("truth"), F.element_at(names, F.col("prediction").cast("int") + 1).alias("prediction"), vector_to_array("probability").alias("probability"))
 
 
-def train(train_rows: DataFrame, validation: DataFrame, test: DataFrame, *, text_col: str, label_col: str, candidates: list[float], **fit) -> dict:
+def train(train_rows: DataFrame, validation: DataFrame, test: DataFrame, *, text_col: str, label_col: str, candidates: list[float], max_iterations: int = 250, **fit) -> dict:
     """Chooses C on the validation rows, fits again on both, and evaluates once on the test rows.
 
     The first candidate of the greatest (macro F1, weighted F1) wins.
@@ -97,7 +100,7 @@ def train(train_rows: DataFrame, validation: DataFrame, test: DataFrame, *, text
     own, held = features.transform(train_rows, text_col).cache(), features.transform(validation, text_col).cache()
     tried = []
     for c in candidates:
-        model = fit_classifier(own, label_col, c=c)
+        model = fit_classifier(own, label_col, c=c, max_iterations=max_iterations)
         row = metrics.summary(metrics.confusion(predict(model, held, label_col))).first()
         tried.append({"c": c, "iterations": model.stages[1].summary.totalIterations, **row.asDict()})
     best = max(tried, key=lambda x: (x["macro_f1"], x["weighted_f1"]))  # the first of equals
@@ -105,7 +108,9 @@ def train(train_rows: DataFrame, validation: DataFrame, test: DataFrame, *, text
     held.unpersist()
     both = train_rows.unionByName(validation, allowMissingColumns=True)
     features = fit_features(both, text_col, **fit)
-    model = fit_classifier(features.transform(both, text_col), label_col, c=best["c"])
+    rows = features.transform(both, text_col).cache()
+    model = fit_classifier(rows, label_col, c=best["c"], max_iterations=max_iterations)
+    rows.unpersist()
     predictions = predict(model, features.transform(test, text_col), label_col)
     return {"features": features, "model": model, "candidates": tried, "chosen": best["c"], "predictions": predictions, "classes": classes_of(model)}
 

@@ -90,7 +90,7 @@ def _classifier(s, d):
     """Test-split predictions of the text classifier chosen on the validation split."""
     stages = splits.staged(_usable(s, d), ad.WINDOWS, "complaint_id", "date_received", "product")
     part = {n: splits.kept(stages, n) for n in ad.WINDOWS}
-    got = models.train(part["train"], part["validation"], part["test"], text_col="narrative", label_col="product", candidates=[1.0], min_df=5, max_features=2000, ngram_max=1)
+    got = models.train(part["train"], part["validation"], part["test"], text_col="narrative", label_col="product", candidates=[1.0], max_iterations=25, min_df=5, max_features=2000, ngram_max=1)
     return got["predictions"]
 
 
@@ -414,7 +414,7 @@ def oracle_sql() -> dict[str, str]:
         "balanced_query_sample": f"WITH {_V} SELECT doc_id, product FROM (SELECT *, row_number() OVER (PARTITION BY product ORDER BY sha256(CAST(doc_id AS VARCHAR) || ':42'), doc_id) AS r FROM v) WHERE r <= 10",
         "term_document_frequency": f"WITH {_TF} SELECT term, df, round(idf, 6) AS idf FROM df WHERE df <= 0.7::DOUBLE * (SELECT count(*) FROM documents)",
         "tfidf_weights": f"WITH {_TF}, x AS (SELECT doc_id, term, (1 + ln(tf::DOUBLE)) * idf AS w FROM tf JOIN df USING (term)) SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM x",
-        "topic_tokens": r"SELECT doc_id AS complaint_id, CAST(len(regexp_extract_all(lower(coalesce(text, '')), '\b[a-zA-Z][a-zA-Z]+\b')) AS BIGINT) AS n_tokens FROM documents",
+        "topic_tokens": r"SELECT doc_id AS complaint_id, CAST(len(list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{Nd}\p{Pc}]+'), lambda w: regexp_full_match(w, '[a-z]{2,}'))) AS BIGINT) AS n_tokens FROM documents",
         "cluster_sizes": f"WITH {_A}, r AS (SELECT CAST(i AS INTEGER) AS topic_id FROM range(7) t(i)) SELECT r.topic_id, count(a.complaint_id) AS rows FROM r LEFT JOIN a USING (topic_id) GROUP BY 1",
         "cluster_description": f"WITH {_A}, {_DESC}, r AS (SELECT CAST(i AS INTEGER) AS topic_id FROM range(7) t(i)) SELECT r.topic_id, coalesce(historical_rows, 0) AS historical_rows, dominant_product, dominant_product_share, coalesce(product_count, 0) AS product_count FROM r LEFT JOIN dd USING (topic_id)",
     }
