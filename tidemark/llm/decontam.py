@@ -126,10 +126,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, action: str = "document", size:
     """
     if action not in ("document", "span"):
         raise ValueError("action is document or span")
-    found = hits(docs, benchmark, size).select(F.col("doc_id").alias("__d"), F.col("t").alias("__t"), "runs")
+    found = hits(docs, benchmark, size).select(F.col("doc_id").alias("__d"), F.col("t").alias("__t"), F.col("runs").alias("__runs"))
     same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t"))
     if action == "document":
-        return docs.join(found.drop("runs"), same, "left_anti")
+        return docs.join(found.drop("__runs"), same, "left_anti")
     parts = F.regexp_extract_all("text", F.lit(f"{WORD}|{NOT_WORD}"), F.lit(0))
     shift = F.when(F.col("text").rlike("^" + NOT_WORD), 1).otherwise(0)
     joined = docs.join(found, same, "left").withColumns({"__parts": parts, "__shift": shift})
@@ -137,10 +137,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, action: str = "document", size:
     def stays(_: Column, i: Column) -> Column:
         at = i - F.col("__shift")  # words stand at the even places
         inside = lambda r: (at >= 2 * r["from"]) & (at <= 2 * r["to"] - 2)
-        return ~F.exists("runs", inside)
+        return ~F.exists("__runs", inside)
 
     cut = F.array_join(F.filter("__parts", stays), "")
-    return joined.withColumn("text", F.when(F.col("runs").isNotNull(), cut).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return joined.withColumn("text", F.when(F.col("__runs").isNotNull(), cut).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -82,15 +82,21 @@ def newton(sizes: DataFrame, targets: dict, tolerance: float = 1e-12, most: int
 def _diffused(group: pd.DataFrame) -> pd.DataFrame:
     """Copies of the documents of one bucket, largest first."""
     group = group.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable")
+    masses = (group["size"] * group["rows"]).astype(float)
     owed, copies = 0.0, []
-    for size, rows, rate in zip(group["size"], group["rows"], group["rate"]):
-        mass = float(size) * rows
+    left, rest = float((masses * group["rate"]).sum()), float(masses.sum())  # tokens still to take, and tokens that can give them
+    for mass, rate in zip(masses, group["rate"]):
         if mass <= 0:
             copies.append(1)
             continue
+        rest -= mass
         due = rate * mass + owed
         take = min(MOST_COPIES, max(0, math.floor(due / mass + 0.5)))
-        owed = due - take * mass
+        while take > 0 and left < take * mass and left - (take - 1) * mass <= MOST_COPIES * rest:
+            take -= 1  # what is taken too much can't be given back, what lacks the smaller ones can give
+        while take < MOST_COPIES and left - take * mass > MOST_COPIES * rest + mass / 2:
+            take += 1
+        owed, left = due - take * mass, left - take * mass
         copies.append(take)
     return group.assign(copies=copies)[["doc_id", "source", "size", "copies", "rate", "source_size", "target"]]
 

@@ -343,13 +343,13 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without the rows whose component has a smaller doc_id; of several rows of one doc_id one stays."""
     rows = labelled(docs)
-    rows = written(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows")), "kept-documents")
+    rows = written(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("__rows")), "kept-documents")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    once = rows.filter("kept").select(F.col("doc_id").alias("__d"), "rows")
+    once = rows.filter("kept").select(F.col("doc_id").alias("__d"), "__rows")
     found = docs.join(once, F.col("doc_id").cast("long") == F.col("__d"))
-    out = found.filter("rows = 1").select(*names).unionByName(docs.filter("doc_id is null"))
-    if not rows.filter("kept and rows > 1").isEmpty():
-        out = out.unionByName(found.filter("rows > 1").dropDuplicates(["__d"]).select(*names))
+    out = found.filter("__rows = 1").select(*names).unionByName(docs.filter("doc_id is null"))
+    if not rows.filter("kept and __rows > 1").isEmpty():
+        out = out.unionByName(found.filter("__rows > 1").dropDuplicates(["__d"]).select(*names))
     return out
 
 

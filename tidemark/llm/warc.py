@@ -133,6 +133,8 @@ def _parse(data: bytes, start: int) -> tuple[Record, int] | str:
     stop = data.find(b"\r\n\r\n", start)
     if stop < 0:
         return "header without end"
+    if _VERSION_LINE.search(data, line.end(), stop + 2):
+        return "header cut off by a record"
     headers: dict[str, str] = {}
     for row in data[line.end() : stop].split(b"\r\n"):
         name, colon, value = row.partition(b":")
