@@ -23,6 +23,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontaminate": decontam.ORACLE,
+        "op4_warc_archives": warc.ORACLE,
         "op9_near_duplicates": neardup.ORACLE,
         "op10_topk_search": topk.ORACLE,
     }

@@ -294,4 +294,18 @@ def read_archives(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def query(spark, sf_dir: str) -> DataFrame:
     manifest = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch(spark, "warc"))
-    return read_archives(manifest)[0].select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+    return read_archives(manifest)[0].select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), d AS (
+  SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(x, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
