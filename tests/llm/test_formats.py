@@ -161,6 +161,6 @@ def test_pages_without_markup_are_differenced(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("html", ["<", "<p", "<!--", "<script>", "</p></div>", "<p class='ad>x</p>", "<div hidden>x</div>y", "&#0;&bogus;", "<a " * 2000])
+@pytest.mark.parametrize("html", ["<", "<p", "<!--", "<script>", "</p></div>", "<p class='ad>x</p>", "<div hidden>x</div>y", "&#0;&bogus;", "<a " * 200_000, "<!" * 200_000, "<p>" * 3000])
 def test_broken_html_does_not_crash(html):
     htmltext.lines_of(html)
