@@ -16,7 +16,7 @@ whose crc32(doc_id as text) mod 5 is not 0.
 Defined results: a null or empty text scores 0; with labels of one value every
 other text scores that value; without labels every text scores 1 (nothing is
 rejected for want of evidence); of several labels of a doc_id the smallest
-counts; ties among neighbours go to the earlier sample row; extra columns pass through kept().
+counts, and of several texts the first in order; ties among neighbours go to the earlier sample row; extra columns pass through kept().
 """
 
 from __future__ import annotations
@@ -152,10 +152,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "quality", "x"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    got = rows.select("doc_id", "quality", "text").mapInArrow(measure, "doc_id long, quality int, x binary").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
-    most = sum(SAMPLE_ROWS.values())
-    x = np.frombuffer(b"".join(got["x"].to_pylist()[:most]), np.float32).reshape(-1, GRAMS + SHARES)
-    return Model(x, got["quality"].to_numpy()[:most], population)
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # one text for each doc_id of the sample
+    got = rows.select("doc_id", "quality", "text").mapInArrow(measure, "doc_id long, quality int, x binary").toArrow().sort_by("doc_id")
+    x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, GRAMS + SHARES)
+    return Model(x, got["quality"].to_numpy(), population)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
