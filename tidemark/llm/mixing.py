@@ -125,7 +125,8 @@ def _joined(docs: DataFrame, plan: DataFrame, *wanted: str) -> DataFrame:
     """The rows of docs with the wanted columns of their unit; docs has __doc, __source and __size."""
     right = plan.select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__n"), *wanted)
     same = F.col("__doc").eqNullSafe(F.col("__d")) & F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__n"))
-    return docs.join(right, same).drop("__d", "__s", "__n")
+    # dealt by their keys at every size alike: the plan grows with the documents and is never broadcast
+    return docs.join(right.hint("merge"), same).drop("__d", "__s", "__n")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -346,7 +346,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     rows = written(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("__rows")), "kept-documents")
     names = [F.col(f"`{c}`") for c in docs.columns]
     once = rows.filter("kept").select(F.col("doc_id").alias("__d"), "__rows")
-    found = docs.join(once, F.col("doc_id").cast("long") == F.col("__d"))
+    # whole texts are dealt once by doc_id, at every size alike; the ids grow with the documents and are never broadcast
+    found = docs.join(once.hint("merge"), F.col("doc_id").cast("long") == F.col("__d"))
     out = found.filter("__rows = 1").select(*names).unionByName(docs.filter("doc_id is null"))
     if not rows.filter("kept and __rows > 1").isEmpty():
         out = out.unionByName(found.filter("__rows > 1").dropDuplicates(["__d"]).select(*names))
