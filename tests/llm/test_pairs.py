@@ -109,6 +109,34 @@ def test_crowded_regions_lose_no_hub(spark, monkeypatch):
     assert {r.component_id for r in got} == {0}
 
 
+def test_large_regions_test_every_pair(spark, monkeypatch):
+    """Texts of one template, alike below the limit, and a few linked pairs that the order puts anywhere."""
+    monkeypatch.setattr(neardup, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(neardup, "OVERLAP", 2)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(240)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for at in rng.sample(range(4, 236, 5), 3):
+            own[at] = f"x{i}n{at}"
+        rows.append((i, own))
+    for i in range(300, 400):
+        own = list(rows[i - 300][1])
+        for at in rng.sample(range(4, 236, 5), 3):
+            own[at] = f"y{i}n{at}"
+        rows.append((i, own))
+    rows = [(i, " ".join(own)) for i, own in rows]
+    sets = neardup.shingle_sets([t.encode() for _, t in rows])
+    root = list(range(len(rows)))
+    for a, b in neardup.exact_links(sets):
+        x, y = root[a], root[b]
+        root = [min(x, y) if r in (x, y) else r for r in root]
+    assert 250 < len(set(root)) < 400
+    got = neardup.labelled(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a long, b long")
     got = {r.doc_id: r.component for r in neardup.components(links).collect()}

@@ -5,20 +5,27 @@
 2. The forest is TREES sorted orders of the representatives, each by its own
    DEPTH hash values.  Neighbours in an order with a common prefix of at least
    LEAST_DEPTH values form a region; all of a region of up to BLOCK_DOCS
-   documents are candidates of one another.  A larger region is cut along the
-   order into overlapping blocks, so that blocks hold the longest common
-   prefixes: the depth adapts to how crowded the region is.
+   documents are candidates of one another.  A larger region is first cut along
+   the order into overlapping blocks, so that blocks hold the longest common
+   prefixes; step 6 tests the pairs that the cuts part.
 3. Inside a block, documents whose signatures agree on at least LEAST_AGREEMENT
    are joined into candidate groups; a group found by several orders counts once.
 4. A task reads the whole texts of a group and computes all intersections of
    its full sets exactly; of the links found it emits a spanning forest.
 5. Components of the links come from alternating large-star and small-star
    steps over the cluster.
+6. A region that was cut and whose documents are not all in one component is
+   dealt into chunks, and every two chunks meet in a block of their own: all of
+   its pairs across components are tested.  Its largest component is not held
+   against itself.
 
 Copies are never expanded into pairs, a task holds one block at a time, and the
 driver holds counts alone.  A link between two texts can be missed only if they
 share LEAST_DEPTH leading values in none of the orders (7e-5 at similarity
-0.85, less above), or if every order cuts them into different blocks.
+0.85, less above), or if their signatures agree on less than LEAST_AGREEMENT.
+Step 6 copies a document once for each chunk that it has to meet: work and
+shuffle grow with the square of such a region's documents outside its largest
+component.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text of fewer words than a shingle is one
@@ -34,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WHITE_SPACE, encoded, groups_of, mixed, word_hashes, word_table, written
@@ -45,7 +52,7 @@ PERCENT = 85
 TREES, DEPTH, LEAST_DEPTH = 10, 12, 3
 HASHES = TREES * DEPTH
 LEAST_AGREEMENT = 0.68
-#: Documents and shingles of a block, and the rows that consecutive blocks of one region share.
+#: Documents and shingles of a block, and the rows that consecutive blocks of one region share in the first pass.
 BLOCK_DOCS, BLOCK_SHINGLES, OVERLAP = 1024, 1 << 21, 64
 BATCH_BYTES = 1 << 20
 #: Rows that are broadcast to the scan of the texts: a block number and an id each.
@@ -119,11 +126,14 @@ def _nibbles(sig: pa.Array, rows: int) -> np.ndarray:
     return (np.frombuffer(b"".join(sig.to_pylist()), ">u2").reshape(rows, HASHES) & 15).astype(np.uint8)
 
 
-def _candidate_groups(ids: np.ndarray, sketch: np.ndarray) -> list[np.ndarray]:
-    """Ids of the groups that estimated similarity joins, of two documents and more."""
+def _candidate_groups(ids: np.ndarray, sketch: np.ndarray, apart: np.ndarray | None = None) -> list[np.ndarray]:
+    """Ids of the groups that estimated similarity joins, of two documents and more.
+
+    With apart, two columns for each document, only pairs that differ in both join.
+    """
     m = len(ids)
     need = HASHES * (LEAST_AGREEMENT + (1 - LEAST_AGREEMENT) / 16)
-    if m == 2:
+    if m == 2 and apart is None:
         return [ids] if (sketch[0] == sketch[1]).sum() >= need else []
     label = np.full(m, -1, np.int64)
     for start in range(m):  # each document's row of estimates is computed once
@@ -138,6 +148,8 @@ def _candidate_groups(ids: np.ndarray, sketch: np.ndarray) -> list[np.ndarray]:
             hit = np.zeros(len(free), bool)
             for i in block:
                 rest = ~hit
+                if apart is not None:
+                    rest &= (apart[free] != apart[i]).all(1)
                 hit[rest] = (sketch[free[rest]] == sketch[i]).sum(1) >= need
             new = free[hit]
             label[new] = start
@@ -146,13 +158,34 @@ def _candidate_groups(ids: np.ndarray, sketch: np.ndarray) -> list[np.ndarray]:
     return [g for g in out if len(g) > 1]
 
 
-def _forest(reps: DataFrame) -> DataFrame:
-    """block, doc_id: members of the candidate groups of all orders."""
+def _group_name(group: np.ndarray) -> int:
+    """A number that names a group of ids; called where overflow is silenced."""
+    g64 = group.astype(np.uint64)
+    return int(mixed(np.array([(mixed(g64) * np.uint64(0x9E3779B97F4A7C15)).sum() + np.uint64(len(group))], np.uint64)).view(np.int64)[0])
+
+
+def _orders(reps: DataFrame) -> DataFrame:
+    """doc_id, n, sketch, tree, key, prefix: every representative in every order; tree and prefix name its region."""
     width = 2 * DEPTH
     trees = F.array(*[F.substring("sig", 1 + t * width, width) for t in range(TREES)])
     rows = reps.select("doc_id", "n", "sketch", F.posexplode(trees).alias("tree", "key"))
-    rows = rows.repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id").select("tree", "key", "doc_id", "n", "sketch")
-    prefix = 2 * LEAST_DEPTH
+    return rows.withColumn("prefix", F.substring("key", 1, 2 * LEAST_DEPTH))
+
+
+def _large_regions(orders: DataFrame) -> DataFrame:
+    """tree, prefix of the regions that don't fit a block."""
+    sizes = orders.groupBy("tree", "prefix").agg(F.count("*").alias("docs"), F.sum("n").alias("weight"))
+    heavy = (F.col("docs") > 2 * OVERLAP) & (F.col("weight") >= BLOCK_SHINGLES)
+    return sizes.filter((F.col("docs") > BLOCK_DOCS) | heavy).select("tree", "prefix")
+
+
+def _forest(orders: DataFrame, large: DataFrame) -> DataFrame:
+    """block, doc_id: members of the candidate groups of all orders."""
+    width, prefix = 2 * DEPTH, 2 * LEAST_DEPTH
+    rows = orders.join(large.withColumn("large", F.lit(True)), ["tree", "prefix"], "left")
+    # only large regions are parted at a partition's edge
+    rows = rows.repartitionByRange("tree", "prefix", F.when(F.col("large"), F.col("key")), F.when(F.col("large"), F.col("doc_id")))
+    rows = rows.sortWithinPartitions("tree", "key", "doc_id").select("tree", "key", "doc_id", "n", "sketch")
 
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: list[np.ndarray] = []
@@ -164,9 +197,7 @@ def _forest(reps: DataFrame) -> DataFrame:
             all_ids, first = np.unique(all_ids, return_index=True)
             if len(all_ids) > 1:
                 for g in _candidate_groups(all_ids, np.concatenate(sketches)[first]):
-                    g64 = g.astype(np.uint64)
-                    name = int(mixed(np.array([(mixed(g64) * np.uint64(0x9E3779B97F4A7C15)).sum() + np.uint64(len(g))], np.uint64)).view(np.int64)[0])
-                    blocks.append(np.full(len(g), name, np.int64))
+                    blocks.append(np.full(len(g), _group_name(g), np.int64))
                     members.append(g)
 
         def out() -> pa.RecordBatch:
@@ -218,6 +249,62 @@ def _forest(reps: DataFrame) -> DataFrame:
     return rows.mapInArrow(regions, "block long, doc_id long")
 
 
+def _across(orders: DataFrame, large: DataFrame, linked: DataFrame) -> DataFrame:
+    """block, doc_id: candidate groups of all pairs of large regions whose components differ.
+
+    Chunks of a region are numbered: first those of its other documents, then
+    those of its largest component, which meet the others alone.
+    """
+
+    def chunks(docs: Column, weight: Column) -> Column:
+        return F.least(docs, F.greatest(F.ceil(docs * 2 / BLOCK_DOCS), F.ceil(weight * 2 / BLOCK_SHINGLES)))
+
+    region = ["tree", "prefix"]
+    members = orders.join(large, region).join(linked, "doc_id", "left")
+    members = written(members.select(*region, "doc_id", "n", "sketch", F.coalesce("component", "doc_id").alias("component")), "large-region-members")
+    parts = members.groupBy(*region, "component").agg(F.count("*").alias("docs"), F.sum("n").alias("weight"))
+    parts = parts.groupBy(*region).agg(F.max(F.struct("docs", "component", "weight")).alias("most"), F.sum("docs").alias("docs"), F.sum("weight").alias("weight"))
+    parts = parts.filter("docs > most.docs").select(
+        *region,
+        F.col("most.component").alias("main"),
+        chunks(F.col("most.docs"), F.col("most.weight")).alias("main_chunks"),
+        chunks(F.col("docs") - F.col("most.docs"), F.col("weight") - F.col("most.weight")).alias("chunks"),
+    )
+    is_main, deal = F.col("component") == F.col("main"), F.xxhash64("doc_id")
+    own = F.when(is_main, F.col("chunks") + F.pmod(deal, F.col("main_chunks"))).otherwise(F.pmod(deal, F.col("chunks")))
+    last = F.when(is_main, F.col("chunks")).otherwise(F.col("chunks") + F.col("main_chunks")) - 1
+    rows = members.join(parts, region).withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0).cast("long"), last))})
+    # documents of one chunk meet where it stands alone
+    side = F.when(F.col("own") == F.col("other"), F.col("doc_id")).otherwise(F.col("own"))
+    block = F.struct(*region, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    rows = rows.select(F.xxhash64(block).alias("deal"), block.alias("b"), "doc_id", "component", side.alias("side"), "sketch")
+    rows = rows.repartition("deal").sortWithinPartitions("deal", "b", "doc_id")
+    rows = rows.select("b.tree", "b.prefix", "b.low", "b.high", "doc_id", "component", "side", "sketch")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            packed = np.frombuffer(b"".join(r[3] for r in held), np.uint8).reshape(len(held), HASHES // 2)
+            sketch = np.stack([packed >> 4, packed & 15], 2).reshape(len(held), HASHES)
+            numbers = np.array([r[:3] for r in held], np.int64)
+            with np.errstate(over="ignore"):
+                for g in _candidate_groups(numbers[:, 0], sketch, numbers[:, 1:]):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), _group_name(np.sort(g)), np.int64)), pa.array(np.sort(g))], ["block", "doc_id"])
+
+        mark, held = None, []
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for name, row in zip(zip(*columns[:4]), zip(*columns[4:])):
+                if name != mark:
+                    if len(held) > 1:
+                        yield from settle(held)
+                    mark, held = name, []
+                held.append(row)
+        if len(held) > 1:
+            yield from settle(held)
+
+    return rows.mapInArrow(compare, "block long, doc_id long")
+
+
 def exact_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
     """A spanning forest of the links between the sets, as pairs of places; every intersection is exact."""
     m = len(sets)
@@ -319,8 +406,14 @@ def labelled(docs: DataFrame) -> DataFrame:
     sets = signed.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n", "sig")).alias("r"), F.count("*").alias("copies"))
     sets = written(sets.select("k1", "k2", "r.doc_id", "r.n", "r.sig", "copies"), "distinct-sets")
     reps = sets.mapInArrow(_sketched, "doc_id long, n long, sig binary, sketch binary")
-    groups = written(_forest(reps).distinct(), "candidate-groups")
+    orders = _orders(reps)
+    large = written(_large_regions(orders), "large-regions")
+    groups = written(_forest(orders, large).distinct(), "candidate-groups")
     linked = components(_confirmed(docs, groups))
+    if not large.isEmpty():
+        groups = written(_across(orders, large, linked).distinct(), "candidate-groups")
+        if not groups.isEmpty():
+            linked = components(linked.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).unionByName(_confirmed(docs, groups)))
     # the component of each set of several rows or of a linked representative; other rows are their own
     of_set = sets.join(linked, "doc_id", "left").filter("copies > 1 or component is not null").select("k1", "k2", F.coalesce("component", "doc_id").alias("component"))
     of_set = written(of_set, "set-components")
