@@ -164,6 +164,20 @@ def test_language_model_beats_its_base_on_held_out_text(spark):
     assert hmm.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_baum_welch_settles_on_all_training_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("text is not null").limit(1800)
+    docs = docs.withColumn("text", F.array_join(F.slice(F.split("text", r"\s+"), 1, 60), " "))  # one segment each
+    training = docs.filter(~hmm.held_out(F.col("doc_id")))
+    rows = hmm.classified(docs, hmm.vocabulary(hmm.token_counts(training), training.count())).select("doc_id", "held_out", "classes").cache()
+    texts = hmm._sequences(rows.filter("not held_out").select("classes").toArrow()["classes"])
+    assert len(texts) > 1200 and max(map(len, texts)) <= hmm.SEGMENT
+    model = hmm.train(rows)
+    prior = np.bincount(np.concatenate(texts), minlength=hmm.CLASSES) + 1e-2
+    after = hmm.Hmm.from_counts(sum(model.expected(*x) for x in hmm.segments_of(texts)), prior)
+    last, likelihood = model.log10_forward(texts).sum(), after.log10_forward(texts).sum()
+    assert likelihood - last < 2e-4 * abs(likelihood)
+
+
 def test_forward_and_baum_welch_are_exact():
     rng = np.random.default_rng(0)
     s, c = hmm.STATES, hmm.CLASSES

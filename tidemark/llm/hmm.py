@@ -9,11 +9,12 @@ counts of all training tokens stay in a table of the cluster.
 1. Token counts over all training documents: sums per task, then a shuffle.
 2. Tokens counted so often that at most KNOWN of them are, are broadcast; the
    counts of the rarer tokens of a document come from a join.
-3. Baum-Welch.  A start from a bounded sample (SAMPLE_DOCS documents,
-   SAMPLE_ROUNDS rounds), then ROUNDS rounds over all training documents:
-   every task turns its documents into expected counts, which are summed across
-   partitions.  Training cuts documents into segments of SEGMENT tokens; a
-   segment that continues a document starts from the states' shares.
+3. Baum-Welch.  States start as seeded noise around the class counts of all
+   training documents.  Every round runs over all of them: a task turns its
+   documents into expected counts and their log-likelihood, which are summed
+   across partitions.  Rounds end when one gains less than SETTLED of the
+   summed log-likelihood.  Training cuts documents into segments of SEGMENT
+   tokens; a segment that continues a document starts from the states' shares.
 4. Scoring: the scaled forward recursion over each whole text, without cuts,
    in double precision: the exact log10 probability that the model gives it.
 
@@ -40,8 +41,11 @@ HELD_OUT_OF, HELD_OUT = 7, 2
 STATES, OWN = 12, 3071
 END, RARE = OWN, OWN + 1
 CLASSES = RARE + 1024
+PARAMETERS = STATES * (2 + STATES + CLASSES)
 KNOWN = 1 << 21
-SAMPLE_DOCS, SAMPLE_ROUNDS, ROUNDS, SEGMENT = 1024, 12, 2, 64
+SEGMENT = 64
+#: Baum-Welch ends with the first round that gains less than this share of the log-likelihood.
+SETTLED = 1e-4
 SEGMENTS_AT_ONCE = 4096
 BATCH_BYTES = 1 << 20
 #: Distinct tokens that a task holds before it passes its counts on.
@@ -249,9 +253,9 @@ class Hmm:
         return Hmm(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True), share / share.sum())
 
     def expected(self, segments: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Expected counts of padded segments (longest first): starts, shares, moves and emissions in one array."""
+        """Of padded segments (longest first): expected starts, shares, moves and emissions, and the log-likelihood, in one array."""
         n, width = segments.shape
-        out = np.zeros(STATES * (2 + STATES + CLASSES))
+        out = np.zeros(PARAMETERS + 1)
         start, share, move, emit = _parts(out)
         by_class, a = self.emit.T.astype(np.float32), self.move.astype(np.float32)
         alive = [int(np.searchsorted(-lengths, -t, "left")) for t in range(width)]  # segments longer than t
@@ -277,6 +281,7 @@ class Hmm:
                 beta[:k] = y @ a.T
             gamma = alpha[t, :m] * beta[:m]
             alpha[t, :m] = gamma / np.maximum(gamma.sum(1, keepdims=True), 1e-30)
+        out[PARAMETERS] = np.log(scale, dtype=np.float64).sum()
         start += alpha[0, first].sum(0)
         seen = np.arange(width)[:, None] < lengths[None, :]
         cls, gamma = segments.T[seen].astype(np.int64), alpha[seen]
@@ -316,7 +321,7 @@ class Hmm:
 def _parts(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Views of the counts: starts, shares, moves, emissions."""
     s = STATES
-    return n[:s], n[s : 2 * s], n[2 * s : 2 * s + s * s].reshape(s, s), n[2 * s + s * s :].reshape(s, CLASSES)
+    return n[:s], n[s : 2 * s], n[2 * s : 2 * s + s * s].reshape(s, s), n[2 * s + s * s : PARAMETERS].reshape(s, CLASSES)
 
 
 def segments_of(texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -339,20 +344,42 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint16) for x in column.to_pylist()]
 
 
+def class_counts(own: DataFrame) -> np.ndarray:
+    """How often each class occurs in column classes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            for x in _sequences(batch.column(0)):
+                total += np.bincount(x, minlength=CLASSES)
+        at = np.flatnonzero(total)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["at", "n"])
+
+    return _totals(own.select("classes").mapInArrow(count, "at int, n long"), CLASSES)
+
+
+def _totals(parts: DataFrame, size: int) -> np.ndarray:
+    """Sums of n by at, of which there are size."""
+    sums = parts.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size)
+    out[sums["at"].to_numpy()] = sums["n"].to_numpy()
+    return out
+
+
 def train(rows: DataFrame) -> Hmm:
     """Baum-Welch over the written rows of classified() that are not held out."""
-    own = rows.filter(~F.col("held_out")).select("doc_id", "classes")
-    sample = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).toArrow()["classes"]
-    texts = _sequences(sample)
-    prior = np.bincount(np.concatenate(texts), minlength=CLASSES) + 1e-2 if texts else np.ones(CLASSES)
-    model = Hmm.fresh(prior / prior.sum() * CLASSES)
-    for _ in range(SAMPLE_ROUNDS if texts else 0):
-        model = Hmm.from_counts(sum(model.expected(*s) for s in segments_of(texts)), prior)
-    for _ in range(ROUNDS if texts else 0):
+    own = rows.filter(~F.col("held_out")).select("classes")
+    prior = class_counts(own)
+    if not prior.any():
+        return Hmm.fresh(np.ones(CLASSES))
+    prior += 1e-2
+    model, last = Hmm.fresh(prior / prior.sum() * CLASSES), -np.inf
+    while True:
         held = rows.sparkSession.sparkContext.broadcast(model)
 
         def gather(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(STATES * (2 + STATES + CLASSES))
+            total = np.zeros(PARAMETERS + 1)
             for batch in batches:
                 for a, b in groups_of(pc.binary_length(batch.column(0)).to_pylist(), 2 * BATCH_BYTES):
                     for s in segments_of(_sequences(batch.column(0).slice(a, b - a))):
@@ -361,12 +388,13 @@ def train(rows: DataFrame) -> Hmm:
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["at", "n"])
 
-        sums = own.select("classes").mapInArrow(gather, "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # a row for each parameter
-        counts = np.zeros(STATES * (2 + STATES + CLASSES))
-        counts[sums["at"].to_numpy()] = sums["n"].to_numpy()
-        prior = _parts(counts)[3].sum(0) + 1e-2
+        counts = _totals(own.mapInArrow(gather, "at int, n double"), PARAMETERS + 1)  # a row for each parameter
+        held.unpersist()
+        likelihood = counts[PARAMETERS]
         model = Hmm.from_counts(counts, prior)
-    return model
+        if likelihood - last < SETTLED * abs(likelihood):
+            return model
+        last = likelihood
 
 
 def score(docs: DataFrame) -> DataFrame:
