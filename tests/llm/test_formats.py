@@ -161,6 +161,29 @@ def test_pages_without_markup_are_differenced(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_huge_pages_are_aligned_exactly(monkeypatch):
+    rng = random.Random(5)
+    cases = [[[rng.choice("abcdef") for _ in range(rng.randrange(40))] for _ in range(2)] for _ in range(100)]
+    want = [len(htmltext.shared_lines(a, b)) for a, b in cases]
+    monkeypatch.setattr(htmltext, "EXACT_CELLS", 30)
+    for (a, b), n in zip(cases, want):
+        got = htmltext.shared_lines(a, b)
+        it = iter(b)
+        assert len(got) == n and all(any(x == a[i] for x in it) for i in sorted(got))
+
+
+@pytest.mark.parametrize("block", [1 << 20, 1, 3])
+def test_copies_and_blocks_hide_no_neighbour(spark, monkeypatch, block):
+    """Runs of equal pages, of any length, in blocks of any size."""
+    monkeypatch.setattr(htmltext, "BLOCK_PAGES", block)
+    frame = "<div>Home | News</div><p>{}</p><div>Imprint of us</div>"
+    texts = ["a"] * 5 + ["b", None, "c", "c"] + ["d"] * 4 + [None] + ["e"]
+    rows = [(i, f"http://a/x/{i:02}", frame.format(t) if t else None) for i, t in enumerate(texts)]
+    rows += [(50, "http://b/1", frame.format("f")), (51, None, "<p>g</p>")]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: t or "" for i, t in enumerate(texts)} | {50: "Home | News\nf\nImprint of us", 51: "g"}
+
+
 @pytest.mark.parametrize("html", ["<", "<p", "<!--", "<script>", "</p></div>", "<p class='ad>x</p>", "<div hidden>x</div>y", "&#0;&bogus;", "<a " * 200_000, "<!" * 200_000, "<p>" * 3000])
 def test_broken_html_does_not_crash(html):
     htmltext.lines_of(html)

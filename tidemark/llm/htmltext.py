@@ -1,8 +1,9 @@
 """Main text of web pages by nearest-URL page differencing.
 
 Each page becomes a list of text lines, one for each block element, in page
-order.  Pages are ordered by host, URL path and id, and a page is paired with
-the nearer of its two neighbours of the same host (the longer common path
+order.  Pages are ordered by host, URL path and id.  A page's neighbours are the
+nearest pages of its host before and after it that have lines, and other lines
+than its own; it is paired with the nearer of the two (the longer common path
 prefix; the preceding page when equal).  The lines of both are aligned by
 longest common subsequence, and lines that the two share are deleted.
 
@@ -15,16 +16,18 @@ such an element, text outside it goes.  Differencing decides the rest: the
 lines of pages without that markup.
 
 The order is cut into blocks at keys taken from the table itself (the keys of
-least hash), so that a host of any size is spread over the cluster; neighbours
-are looked for within a block.  Results depend on the table alone.
+least hash), so that a host of any size is spread over the cluster.  Hosts that
+limits cut are read once more before: copies of the pages that are neighbours
+across a limit go along with the block.  Results don't depend on the blocks.
 
 Defined results: a null or empty html gives an empty text; a null url pairs
-with nothing; pages with equal lines don't delete each other; repeated rows
+with nothing; pages with equal lines share their neighbours; repeated rows
 each get their result; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_right
 from collections import defaultdict
@@ -32,6 +35,7 @@ from collections.abc import Iterator
 from html import unescape
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -42,7 +46,7 @@ from tidemark.llm.common import groups_of
 #: Pages of a block on average, and most block limits held by a task.
 BLOCK_PAGES = 2048
 MOST_BLOCKS = 65536
-#: Lines times lines aligned exactly; beyond, only lines that occur once on both pages are aligned.
+#: Lines times lines aligned in one piece; beyond, the alignment is cut in two, as exactly.
 EXACT_CELLS = 400_000_000
 #: Bytes of html parsed from one Arrow batch at a time.
 BATCH_BYTES = 8 << 20
@@ -174,29 +178,32 @@ def shared_lines(own: list[str], other: list[str]) -> set[int]:
     return found
 
 
+def _longest(own: list[str], other: list[str]) -> np.ndarray:
+    """Lengths of the longest common subsequences of own with every beginning of other."""
+    places: dict[str, bytearray] = {}
+    size = len(other) // 8 + 1
+    wanted = set(own)
+    for j, line in enumerate(other):
+        if line in wanted:
+            places.setdefault(line, bytearray(size))[j >> 3] |= 1 << (j & 7)
+    full = (1 << len(other)) - 1
+    row = full
+    for line in own:
+        if line in places:
+            match = row & int.from_bytes(places[line], "little")
+            row = ((row + match) | (row - match)) & full
+    grown = np.unpackbits(np.frombuffer((~row & full).to_bytes(size, "little"), np.uint8), bitorder="little")[: len(other)]
+    return np.append(0, np.cumsum(grown, dtype=np.int64))
+
+
 def _aligned_once(own: list[str], other: list[str]) -> set[int]:
-    """As shared_lines for huge pages: the longest increasing run of lines that occur once on either page."""
-    once = {}
-    for lines, k in ((own, 0), (other, 1)):
-        seen: dict[str, int] = {}
-        for i, line in enumerate(lines):
-            seen[line] = -1 if line in seen else i
-        for line, i in seen.items():
-            if i >= 0:
-                once.setdefault(line, {})[k] = i
-    pairs = sorted((x[0], x[1]) for x in once.values() if len(x) == 2)
-    tails: list[int] = []
-    ends: list[int] = []
-    back: list[int] = []
-    for n, (_, j) in enumerate(pairs):
-        k = bisect_right(tails, j)
-        tails[k:k + 1], ends[k:k + 1] = [j], [n]
-        back.append(ends[k - 1] if k else -1)
-    found, n = set(), ends[-1] if ends else -1
-    while n >= 0:
-        found.add(pairs[n][0])
-        n = back[n]
-    return found
+    """As shared_lines for huge pages: cuts own once, and other where both halves share most."""
+    if len(own) < 2:
+        return {0} if own and own[0] in other else set()
+    half = len(own) // 2
+    both = _longest(own[:half], other) + _longest(own[half:][::-1], other[::-1])[::-1]
+    j = int(both.argmax())
+    return shared_lines(own[:half], other[:j]) | {half + i for i in shared_lines(own[half:], other[j:])}
 
 
 def main_text(lines: list[str], kept: list[bool], other: list[str] | None) -> str:
@@ -224,6 +231,68 @@ def _common(a: str, b: str) -> int:
     return n
 
 
+def _hash(lines: list[str]) -> str:
+    return hashlib.blake2b("\n".join(lines).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def _halo(rows: DataFrame, limits: list[tuple]) -> dict[tuple, list[int]]:
+    """The blocks that a page is a neighbour in from outside, by (host, path, page_id, url, hash of its lines)."""
+    cut = {x[0] for x in limits} - {""}  # only a host of a limit lies in several blocks
+    if not cut:
+        return {}
+    held = rows.sparkSession.sparkContext.broadcast((limits, cut))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, hosts = held.value
+        for batch in batches:
+            found = []
+            for i, (page_id, url) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                host, path = _address(url)
+                if host in hosts and (lines := lines_of(batch.column(2)[i].as_py())[0]):
+                    found.append((bisect_right(at, (host, path, -1 if page_id is None else page_id)), host, path, page_id, url, _hash(lines)))
+            if found:
+                kinds = (pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["block", "host", "path", "page_id", "url", "h"])
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each host in each block the first and last page, and the first and last of other lines than those."""
+        found: list[list] = []
+        for batch in batches:
+            for block, host, *key in zip(*(c.to_pylist() for c in batch.columns)):
+                key = tuple(key)
+                if not found or found[-1][:2] != [block, host]:
+                    found.append([block, host, key, None, key, None])
+                    continue
+                x = found[-1]
+                if x[3] is None and key[3] != x[2][3]:
+                    x[3] = key
+                if key[3] != x[4][3]:
+                    x[5] = x[4]
+                x[4] = key
+        for block, host, *pages in found:
+            for place, key in enumerate(pages):
+                if key is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((block, host, place, *key), (pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string()))], ["block", "host", "place", "path", "page_id", "url", "h"])
+
+    pages = rows.mapInArrow(keys, "block int, host string, path string, page_id long, url string, h string")
+    pages = pages.repartition("block").sortWithinPartitions("block", "host", "path", "page_id", "url")
+    inner: dict[tuple, list] = {}
+    for r in pages.mapInArrow(ends, "block int, host string, place int, path string, page_id long, url string, h string").collect():
+        inner.setdefault((r.host, r.block), [None] * 4)[r.place] = tuple(r)[3:]
+    by_host = defaultdict(list)
+    for (host, block), found in sorted(inner.items()):
+        by_host[host].append((block, *found))
+    out = defaultdict(list)
+    for host, parts in by_host.items():
+        for i, (block, first, _, last, _) in enumerate(parts):
+            after = (x[1] if x[1][3] != last[3] else x[2] for x in parts[i + 1 :])
+            before = (x[3] if x[3][3] != first[3] else x[4] for x in reversed(parts[:i]))
+            for side in (before, after):
+                if (near := next((x for x in side if x is not None), None)) is not None:
+                    out[host, *near].append(block)
+    return dict(out)
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages."""
     spark = pages.sparkSession
@@ -231,45 +300,61 @@ def extract(pages: DataFrame) -> DataFrame:
     blocks = min(MOST_BLOCKS, rows.select("page_id").count() // BLOCK_PAGES)
     chosen = rows.select("page_id", "url").orderBy(F.xxhash64("url", "page_id"), "url", "page_id").limit(blocks).collect() if blocks else []
     limits = sorted((*_address(r.url), r.page_id if r.page_id is not None else -1) for r in chosen)
-    held = spark.sparkContext.broadcast(limits)
+    held = spark.sparkContext.broadcast((limits, _halo(rows, limits)))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, halo = held.value
+        near = {k[:4] for k in halo}
         for batch in batches:
             sizes = pc.binary_length(batch.column(2)).fill_null(0).to_pylist()
             for begin, end in groups_of(sizes, BATCH_BYTES):
-                part = batch.slice(begin, end - begin)
-                ids, urls = part.column(0).to_pylist(), part.column(1).to_pylist()
-                where = [_address(u) for u in urls]
-                read = [lines_of(h) for h in part.column(2).to_pylist()]
-                block = [bisect_right(held.value, (*w, -1 if i is None else i)) for w, i in zip(where, ids)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(block, pa.int32()), pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array([w[0] for w in where], pa.string()), pa.array([w[1] for w in where], pa.string()), pa.array([x[0] for x in read], pa.list_(pa.string())), pa.array([x[1] for x in read], pa.list_(pa.bool_()))],
-                    ["block", "page_id", "url", "host", "path", "lines", "kept"],
-                )
+                found = []
+                for page_id, url, html in zip(*(c.to_pylist() for c in batch.slice(begin, end - begin).columns)):
+                    host, path = _address(url)
+                    lines, kept = lines_of(html)
+                    row = (page_id, url, host, path, lines, kept)
+                    found.append((bisect_right(at, (host, path, -1 if page_id is None else page_id)), *row, False))
+                    if (host, path, page_id, url) in near:
+                        found += [(block, *row, True) for block in halo.get((host, path, page_id, url, _hash(lines)), ())]
+                kinds = (pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["block", "page_id", "url", "host", "path", "lines", "kept", "halo"])
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(done: list[tuple]) -> pa.RecordBatch:
+        done: list[tuple] = []
+
+        def out() -> pa.RecordBatch:
             ids, urls, texts = zip(*done)
+            done.clear()
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-        def settle(before, own, after) -> tuple:
-            near = [x for x in (before, after) if x is not None and own[3] and x[:1] == own[:1] and x[3] == own[3]]
-            near.sort(key=lambda x: -_common(x[4], own[4]))  # stable: the preceding page first
-            return own[1], own[2], main_text(own[5], own[6], near[0][5] if near else None)
+        def settle(run: list[tuple], before: tuple | None, after: tuple | None) -> None:
+            """Adds the pages of a run of equal lines, given the pages before and after it."""
+            for own in run:
+                near = [x for x in (before, after) if x is not None]
+                near.sort(key=lambda x: -_common(x[4], own[4]))  # stable: the preceding page first
+                if not own[7]:
+                    done.append((own[1], own[2], main_text(own[5], own[6], near[0][5] if near else None)))
 
-        before = own = None
+        before, run = None, []
         for batch in batches:
-            done = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if own is not None:
-                    done.append(settle(before, own, row))
-                before, own = own, row
+                if run and (row[0], row[3]) != (run[0][0], run[0][3]):
+                    settle(run, before, None)
+                    before, run = None, []
+                if not row[3] or not row[5]:
+                    settle([row], None, None)
+                elif not run or row[5] == run[0][5]:
+                    run.append((*row[:5], run[0][5] if run else row[5], *row[6:]))  # equal lines are held once
+                else:
+                    settle(run, before, row)
+                    before, run = run[-1], [row]
             if done:
-                yield out(done)
-        if own is not None:
-            yield out([settle(before, own, None)])
+                yield out()
+        settle(run, before, None)
+        if done:
+            yield out()
 
-    parsed = rows.mapInArrow(parse, "block int, page_id long, url string, host string, path string, lines array<string>, kept array<boolean>")
+    parsed = rows.mapInArrow(parse, "block int, page_id long, url string, host string, path string, lines array<string>, kept array<boolean>, halo boolean")
     order = ["block", "host", "path", "page_id", "url"]
     return parsed.repartition("block").sortWithinPartitions(*order).mapInArrow(differ, "page_id long, url string, text string, n_chars long")
 
