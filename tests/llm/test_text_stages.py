@@ -100,6 +100,18 @@ def test_license_templates_match_and_reject():
         licenses.compiled("l", "a <<beginOptional>>b")
 
 
+def test_license_regions_take_versions_and_any_length():
+    m = licenses.Scanner((), licenses.TEMPLATES)
+    for version in ("4.0", "3.0", "2.0", "4"):
+        for text in (f"Creative Commons Attribution {version} International License", f"a Creative Commons Attribution {version} License."):
+            assert m.scan(text.lower().encode())[4] == "cc-by"
+    assert (m.scan(b"creative commons attribution 4.0 or any license") or licenses.NONE)[4] == ""
+    for match in (";match=.+", ";match=.*", ""):
+        m = licenses.Scanner((), [("l", f"granted to <<var;name=who{match}>> forever")])
+        assert m.scan(b"granted to " + b"a b. " * 400 + b"forever")[4] == "l"
+        assert (m.scan(b"granted to forever") or licenses.NONE)[4] == ("" if "+" in match else "l")
+
+
 def test_license_scan_counts_base_places(spark):
     rng = random.Random(4)
     parts = ["under", "the", "MIT", "license", "Apache License,", "Version", "2", "2.0", "cc", "BY", "nc", "mit-license", "licenses"]

@@ -3,7 +3,8 @@
 A template is text in the markup of license lists: ``<<beginOptional>> ...
 <<endOptional>>`` may be left out, and ``<<var;name=...;match=...>>`` stands for
 any words (``match=".{0,N}"`` bounds them to about N characters, MEAN_WORD to a
-word).  It compiles to an automaton over words; a text is accepted where the
+run of words without white space between, such as 4.0; other regions have no
+bound).  It compiles to an automaton over words; a text is accepted where the
 mandatory words stand exactly, one after another, whatever stands between
 words.  A phrase is a template without markup, and is found the same way.
 
@@ -74,6 +75,7 @@ BATCH_BYTES = 1 << 20
 WORD = rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = re.compile(WORD)
+_SPACE = re.compile(rb"\s")
 _IS_WORD = word_table(NOT_ALNUM)
 _MARKUP = re.compile(r"<<\s*(beginOptional|endOptional|var)\b(.*?)>>", re.S | re.I)
 _BOUND = re.compile(r"match\s*=\s*\"?\.(?:\{(\d*),(\d+)\}|([*+]))", re.I)
@@ -90,8 +92,11 @@ class Automaton:
     final: set[int]
     anchor: list[bytes] = field(default_factory=list)
 
-    def places(self, text: list[bytes]) -> list[tuple[int, int]]:
-        """First and last word of the longest match from every word at which one begins."""
+    def places(self, text: list[bytes], joined: list[bool]) -> list[tuple[int, int]]:
+        """First and last word of the longest match from every word at which one begins.
+
+        joined[i]: no white space stands before word i; in a replaceable region it counts with the word before.
+        """
         starts = {self.words[i] for i in self.begin}
         found = []
         for at, word in enumerate(text):
@@ -101,7 +106,8 @@ class Automaton:
             end, here = (at, at) if live & self.final else (-1, at)
             while live and here + 1 < len(text):
                 here += 1
-                live = {j for i in live for j in self.after[i] if self.words[j] is None or self.words[j] == text[here]}
+                more = {i for i in live if self.words[i] is None} if joined[here] else set()
+                live = more | {j for i in live for j in self.after[i] if self.words[j] is None or self.words[j] == text[here]}
                 if live & self.final:
                     end = here
             if end >= 0:
@@ -110,7 +116,7 @@ class Automaton:
 
 
 def _tree(template: str) -> list:
-    """Words, bounds of replaceable regions and nested lists of optional parts, in order."""
+    """Words, bounds (None: without) of replaceable regions and nested lists of optional parts, in order."""
     stack: list[list] = [[]]
 
     def add(text: str) -> None:
@@ -131,8 +137,8 @@ def _tree(template: str) -> list:
         else:
             bound = _BOUND.search(m[2])
             least = int(bound[1] or 0) if bound and bound[2] else int(bool(bound and bound[3] == "+"))
-            most = int(bound[2]) if bound and bound[2] else 200
-            stack[-1].append((min(least, 1), -(-most // MEAN_WORD)))
+            most = -(-int(bound[2]) // MEAN_WORD) if bound and bound[2] else None
+            stack[-1].append((min(least, 1), most))
     if len(stack) != 1:
         raise ValueError("beginOptional without endOptional")
     add(template[at:])
@@ -156,9 +162,11 @@ def compiled(label: str, template: str) -> Automaton:
                 ends, open_ = ends | inner, open_ or inner_open
             elif isinstance(x, tuple):
                 least, most = x
-                for k in range(most):
+                for k in range(1 if most is None else most):
                     new = state(None)
                     link(ends, open_, new)
+                    if most is None:
+                        out.after[new].add(new)
                     ends, open_ = (ends | {new}, open_) if k >= least else ({new}, False)
             else:
                 new = state(x)
@@ -203,9 +211,11 @@ class Scanner:
         held = {k for k, r in self.tests.items() if all(w in text for w in k) and r.search(text)}
         if not held:
             return None
-        words = _WORD.findall(text)
-        base = [(a.label, p) for a in self.base if tuple(a.anchor) in held for p in a.places(words)]
-        more = [(a.label, p) for a in self.more if tuple(a.anchor) in held for p in a.places(words)]
+        found = list(_WORD.finditer(text))
+        words = [m[0] for m in found]
+        joined = [False, *(not _SPACE.search(text, a.end(), b.start()) for a, b in zip(found, found[1:]))]
+        base = [(a.label, p) for a in self.base if tuple(a.anchor) in held for p in a.places(words, joined)]
+        more = [(a.label, p) for a in self.more if tuple(a.anchor) in held for p in a.places(words, joined)]
         covered, reach = 0, -1
         for first, last in sorted(p for _, p in base + more):
             covered += max(0, last - max(first - 1, reach))
