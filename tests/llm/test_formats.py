@@ -105,6 +105,28 @@ def test_salvage_of_plain_archives():
     assert ids(warc.read_archive(wrong)) == [i for i in range(12) if i != 3]
 
 
+def test_salvage_of_mixed_and_single_member_archives():
+    plain = [warc.record_bytes(i, u, h.encode()) for i, u, h in PAGES]
+    packed = archive()
+    everything = b"".join(plain)
+    first_bad = b"XARC" + everything[4:]
+    assert ids(warc.read_archive(first_bad)) == list(range(1, 12))
+    assert [(a, b) for a, b, _ in warc.read_archive(first_bad).gaps] == [(0, len(plain[0]))]
+    assert ids(warc.read_archive(warc.member(first_bad))) == list(range(1, 12))
+    mixed = packed[0] + plain[1] + packed[2] + b"junk" + plain[3] + packed[4]
+    assert ids(warc.read_archive(mixed)) == [0, 1, 2, 3, 4]
+    whole = bytearray(warc.member(everything))
+    whole[-8] ^= 255  # the checksum
+    got = warc.read_archive(bytes(whole))
+    assert ids(got) == list(range(12)) and got.gaps[0][:2] == (0, len(whole))
+    got = warc.read_archive(warc.member(everything)[:-40] + packed[0])
+    assert len(got.records) > 1 and ids(got)[-1] == 0
+    packer = zlib.compressobj(0, zlib.DEFLATED, 31)
+    stored = bytearray(packer.compress(everything) + packer.flush())
+    stored[-8] ^= 255
+    assert ids(warc.read_archive(bytes(stored))) == list(range(12))
+
+
 def test_archives_of_pages(spark):
     rows = [*PAGES, (50, None, None), (51, "http://x/\r\nb c", ""), (52, "u", "é你 html"), (2, PAGES[2][1], PAGES[2][2]), (None, "n", "alone")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("first", F.lit(1))

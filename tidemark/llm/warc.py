@@ -6,9 +6,10 @@ lost executor's half-written files are never read.
 
 The reader checks every member: the gzip stream and its checksum, the version
 line, the header, the length and the block digest.  After a failed check it
-searches for the next member that inflates to a version line (in plain
-archives, for the next version line at which a record parses), goes on there,
-and logs the bytes between as a quarantined gap with the reason.
+searches for the next gzip magic or version line, whichever comes first, goes
+on where a member or record is sound, and logs the bytes between as a
+quarantined gap with the reason.  Inflated bytes are searched for records too;
+of a damaged member, those before the fault whose block digest is right count.
 
 Defined results: a null html is an empty payload; equal payloads of at least
 ``least`` bytes are written once, by the smallest page_id, and revisited by the
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import scratch, written
 
 ARCHIVE_BYTES = 16 << 20
-#: Records that inflate to more are taken as damaged.
+#: Of a member that inflates to more, the records up to there are read.
 MOST_RECORD_BYTES = 1 << 30
 #: Keys of repeated payloads that are broadcast.
 BROADCAST_KEYS = 200_000
@@ -107,22 +108,30 @@ class Salvage:
             self.gaps.append((start, end, reason))
 
 
-def _inflate(data: memoryview, start: int) -> tuple[bytes, int] | str:
-    """The member at start and where it ends, or what is wrong with it."""
+def _inflate(data: memoryview, start: int) -> tuple[bytes, int, str | None]:
+    """What the member at start holds, where it ends, and what is wrong with it: then the bytes before the fault."""
     unpack, out, at, size = zlib.decompressobj(31), [], start, 0
-    try:
-        while not unpack.eof:
-            if at >= len(data):
-                return "truncated member"
-            piece = unpack.decompress(data[at : at + 65536])
-            at = min(len(data), at + 65536)
-            size += len(piece)
-            if size > MOST_RECORD_BYTES:
-                return "member too large"
-            out.append(piece)
-    except zlib.error as e:
-        return f"bad member: {e}"
-    return b"".join(out), at - len(unpack.unused_data)
+    while not unpack.eof:
+        if at >= len(data):
+            return b"".join(out), at, "truncated member"
+        step = data[at : at + 65536]
+        try:
+            out.append(unpack.decompress(step))
+        except zlib.error as e:
+            again = zlib.decompressobj(31)  # the failed call gave nothing: once more up to the fault
+            for i in range(start, at, 65536):
+                again.decompress(data[i : i + 65536])
+            for i in range(len(step)):
+                try:
+                    out.append(again.decompress(step[i : i + 1]))
+                except zlib.error:
+                    break
+            return b"".join(out), at, f"bad member: {e}"
+        at += len(step)
+        size += len(out[-1])
+        if size > MOST_RECORD_BYTES:
+            return b"".join(out), at, "member too large"
+    return b"".join(out), at - len(unpack.unused_data), None
 
 
 def _parse(data: bytes, start: int) -> tuple[Record, int] | str:
@@ -178,29 +187,56 @@ def _plain(data: bytes, offset: int, out: Salvage, locate=None) -> bool:
     return clean
 
 
+def _next_start(data: bytes, at: int) -> int:
+    """The first gzip magic or version line from at on, else the end."""
+    magic = data.find(MAGIC, at)
+    end = magic if magic >= 0 else len(data)
+    line = _VERSION_LINE.search(data, at, end)
+    return line.start() if line else end
+
+
 def read_archive(data: bytes) -> Salvage:
     """All records of an archive that can be read, whatever else it holds."""
     out, view = Salvage(), memoryview(data)
-    if not data.startswith(MAGIC) and _VERSION_LINE.match(data):
-        _plain(data, 0, out)
-        return out
     at, bad, reason = 0, None, ""
+    rescued: list[Record] = []  # of damaged members; bytes stored in one as they are come up once more
+
+    def close(end: int) -> None:
+        nonlocal bad
+        if bad is not None:
+            out.lost(bad, end, reason)
+            bad = None
+
     while at < len(data):
-        got = _inflate(view, at) if data[at : at + 3] == MAGIC else "no member"
-        if not isinstance(got, str) and _VERSION_LINE.match(got[0]):
-            if bad is not None:
-                out.lost(bad, at, reason)
-                bad = None
-            inner, end = got
-            _plain(inner, 0, out, lambda i, at=at, end=end: at if i == 0 else end)
-            at = end
-            continue
+        wrong, onward = "no member", at + 1
+        if data[at : at + 3] == MAGIC:
+            inner, end, wrong = _inflate(view, at)
+            part = Salvage()
+            _plain(inner, 0, part, lambda i, at=at, end=end: at if i == 0 else end)
+            if wrong is None and (part.records or _VERSION_LINE.match(inner)):
+                close(at)
+                out.records += part.records
+                out.gaps += part.gaps
+                at = end
+                continue
+            if wrong is None:
+                wrong, onward = "member without version line", end
+            else:  # without a sound checksum only the block digest vouches for a record
+                rescued = [r for r in part.records if r["WARC-Block-Digest"] is not None]
+                out.records += rescued
+        elif _VERSION_LINE.match(data, at):
+            got = _parse(data, at)
+            if not isinstance(got, str):
+                close(at)
+                if got[0] not in rescued:
+                    out.records.append(got[0])
+                at = got[1]
+                continue
+            wrong = got
         if bad is None:
-            bad, reason = at, got if isinstance(got, str) else "member without version line"
-        nxt = data.find(MAGIC, at + 1)
-        at = nxt if nxt >= 0 else len(data)
-    if bad is not None:
-        out.lost(bad, len(data), reason)
+            bad, reason = at, wrong
+        at = _next_start(data, onward)
+    close(len(data))
     return out
 
 
