@@ -56,6 +56,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like those given that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"__{name}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def character_class(characters: Iterable[int]) -> str:
+    """Characters below 256 as the inside of a regular expression's class.
+
+    Java's engine looks characters that stand one by one up in a table; a
+    negated class of ranges takes it ten times as long.
+    """
+    return "".join(f"\\x{c:02x}" for c in sorted(characters))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
