@@ -1,11 +1,14 @@
 """What several operators share: the shared folder, written tables, word hashes.
 
-Word hashes are 64-bit polynomial hashes taken over whole byte buffers with
-numpy, so that a word costs a few array operations and no Python object.
+Words are hashed in whole byte buffers with numpy, so that a word costs a few
+array operations and no Python object: 64 bits of its eight-byte pieces, each
+mixed into the result of those before.  Words of up to eight bytes never share
+a hash with another word of their length.
 """
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -16,12 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 #: Bytes of text hashed at once; bounds the memory of the array operations.
 BLOCK_BYTES = 1 << 20
 
-#: Fixed values of the hash: an odd multiplier, its inverse modulo 2**64 and the finaliser's factors.
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 128
+
+#: Fixed values of the hash: an odd multiplier and the finaliser's factors.
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1 = np.uint64(0xFF51AFD7ED558CCD)
 _MIX_2 = np.uint64(0xC4CEB9FE1A85EC53)
 
+#: Of an eight-byte piece, the bytes that belong to a word of so many bytes.
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
 #: Bytes that separate words when words are runs of other than ASCII white space.
 WHITE_SPACE = bytes([0x20, *range(0x09, 0x0E)])
 #: Bytes that separate words when words are ASCII letters and digits and all of non-ASCII.
@@ -31,13 +39,15 @@ NOT_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where the session has none (tests on one machine) a temporary folder is set.
+    Only where the session has none and runs on one machine (tests) a temporary folder is set.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tidemark-shared-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -82,23 +92,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the multiplier and of its inverse, grown as needed."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        grown = []
-        for factor in (_BASE, _BASE_INVERSE):
-            steps = np.full(size, factor, np.uint64)
-            steps[0] = 1
-            grown.append(np.multiply.accumulate(steps))
-        _powers = (grown[0], grown[1])
-    return _powers
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """64-bit finaliser: every input bit reaches every output bit."""
     h = h ^ (h >> np.uint64(33))
@@ -141,28 +134,44 @@ def _pieces(text: bytes, is_word: np.ndarray) -> Iterator[bytes]:
     yield text[at:]
 
 
-def word_hashes(texts: list[bytes], is_word: np.ndarray, endings: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _hashed(data: bytes, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of the words of data, which ends in eight bytes of none."""
+    sizes = ends - starts
+    pieces = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    with np.errstate(over="ignore"):
+        salt = mixed(np.array([seed], np.uint64) + _ODD)
+        h = mixed((pieces[starts] & _MASK[np.minimum(sizes, 8)]) ^ (sizes.astype(np.uint64) * _ODD + salt))
+        left, at = np.flatnonzero((sizes > 8) & (sizes <= LONG_WORD)), 8
+        while len(left):
+            piece = pieces[starts[left] + at] & _MASK[np.minimum(sizes[left] - at, 8)]
+            h[left] = mixed((h[left] * _ODD) ^ piece)
+            at += 8
+            left = left[sizes[left] > at]
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8, key=key).digest(), "little")
+    return h
+
+
+def word_hashes(texts: list[bytes], is_word: np.ndarray, endings: list[np.ndarray] | None = None, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, one after another, and where each text's words begin.
 
     The second array has len(texts) + 1 entries.  Texts are expected in the
     letter case in which they are to be compared.  A list given as endings gets
-    arrays of the words' last two bytes (0 for the second last of a one-byte word).
+    arrays of the words' last two bytes (0 for the second last of a one-byte
+    word).  Hashes of different seeds are independent of one another.
     """
     hashes: list[np.ndarray] = []
     counts = np.zeros(len(texts) + 1, np.int64)
     separator = bytes([int(np.flatnonzero(~is_word)[0])])
 
     def take(block: list[bytes], owners: list[int]) -> None:
-        data = np.frombuffer(separator.join(block), np.uint8)
-        if not len(data):
-            return
+        joined = separator.join(block) + bytes(8)
+        data = np.frombuffer(joined, np.uint8, len(joined) - 8)
         starts, ends = word_spans(data, is_word)
-        up, down = _power_tables(len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-        hashes.append(mixed((total[ends] - total[starts]) * down[starts]))
+        hashes.append(_hashed(joined, starts, ends, seed))
         if endings is not None:
-            before = np.where(ends - starts > 1, data[np.maximum(ends - 2, 0)], 0)
+            before = np.where(ends - starts > 1, data[np.maximum(ends - 2, 0)], 0) if len(data) else starts
             endings.append(np.stack([before, data[ends - 1]], 1).astype(np.uint8))
         limits = np.cumsum([len(x) + 1 for x in block])
         per = np.diff(np.searchsorted(starts, limits), prepend=0)

@@ -18,7 +18,8 @@ spread over the cluster and reruns agree.
 Defined results: a null text has size 0; a null source is a source of its own
 and comes last; documents without words are kept once and take no part in the
 targets; rows with equal doc_id, source and size are taken alike.  An empty
-table gives an empty mix.  Extra columns pass through mixed() and are ignored by rates().
+table gives an empty mix.  Extra columns, whatever their names, pass through
+mixed() and are ignored by rates().
 """
 
 from __future__ import annotations
@@ -29,18 +30,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import character_class, unused, written
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3
 BUCKET_ROWS = 2000
+WORD = f"[^{character_class([0x20, *range(0x09, 0x0E)])}]+"
 #: One row for each source reaches the driver; more sources than this are refused.
 MOST_SOURCES = 1_000_000
 
 
 def word_count(text: Column) -> Column:
     """Runs of other than ASCII white space."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def targets_of(sizes: list[float], weights: list[float], cap: float = MOST_COPIES, share: float = 1.0) -> list[float]:
@@ -121,37 +123,21 @@ def rates(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     return dealt.groupBy("source", "bucket").applyInPandas(lambda g: _diffused(g), "doc_id long, source string, size long, copies int, rate double, source_size long, target double")
 
 
-def _joined(docs: DataFrame, plan: DataFrame, *wanted: str) -> DataFrame:
-    """The rows of docs with the wanted columns of their unit; docs has __doc, __source and __size."""
-    right = plan.select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__n"), *wanted)
-    same = F.col("__doc").eqNullSafe(F.col("__d")) & F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__n"))
-    # dealt by their keys at every size alike: the plan grows with the documents and is never broadcast
-    return docs.join(right.hint("merge"), same).drop("__d", "__s", "__n")
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__source": F.col("source").cast("string"), "__size": word_count(F.col("text"))})
-
-
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of docs."""
-    plan = written(rates(docs, weights), "mix-plan").withColumnRenamed("copies", "__copies")
-    rows = _joined(_keyed(docs), plan.filter(F.col("__copies") > 0), "__copies")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    d, s, n, copies, copy = unused(docs, "doc", "source", "size", "copies", "copy")
+    plan = written(rates(docs, weights), "mix-plan").filter("copies > 0")
+    plan = plan.select(F.col("doc_id").alias(d), F.col("source").alias(s), F.col("size").alias(n), F.col("copies").alias(copies))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & F.col("source").cast("string").eqNullSafe(F.col(s)) & (word_count(F.col("text")) == F.col(n))
+    # dealt by their keys at every size alike: the plan grows with the documents and is never broadcast
+    rows = docs.join(plan.hint("merge"), same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    plan = rates(docs)
-    rows = _keyed(docs.select("doc_id", "source", "text")).select("__doc", "__source", "__size")
-    out = _joined(rows, plan.withColumnRenamed("copies", "__c"), "__c", "source_size", "target", "rate")
-    return out.select(
-        F.col("__doc").alias("doc_id"),
-        F.col("__size").alias("size"),
-        "source_size",
-        "target",
-        F.when(F.col("__size") > 0, F.col("__c") * F.col("__size")).otherwise(F.lit(0)).cast("long").alias("taken"),
-        F.col("__source").alias("source"),
-        "rate",
-        F.col("__c").alias("copies"),
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    plan = rates(docs).select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("n"), "source_size", "target", "rate", "copies")
+    out = rows.join(plan.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("n")))
+    taken = F.when(F.col("size") > 0, F.col("copies") * F.col("size")).otherwise(F.lit(0)).cast("long")
+    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "rate", "copies")

@@ -11,7 +11,8 @@
 3. Inside a block, documents whose signatures agree on at least LEAST_AGREEMENT
    are joined into candidate groups; a group found by several orders counts once.
 4. A task reads the whole texts of a group and computes all intersections of
-   its full sets exactly; of the links found it emits a spanning forest.
+   its full sets, under two independent hashes of the words: a link has to hold
+   under both.  Of the links found it emits a spanning forest.
 5. Components of the links come from alternating large-star and small-star
    steps over the cluster.
 6. A region that was cut and whose documents are not all in one component is
@@ -30,7 +31,8 @@ component.
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text of fewer words than a shingle is one
 shingle; rows of one doc_id are one document; a row without doc_id is kept and
-has no component.  Extra columns pass through deduplicated() and are ignored elsewhere.
+has no component.  Extra columns, whatever their names, pass through
+deduplicated() and are ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE_SPACE, encoded, groups_of, mixed, word_hashes, word_table, written
+from tidemark.llm.common import WHITE_SPACE, encoded, groups_of, mixed, unused, word_hashes, word_table, written
 
 SHINGLE = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -55,7 +57,7 @@ LEAST_AGREEMENT = 0.68
 #: Documents and shingles of a block, and the rows that consecutive blocks of one region share in the first pass.
 BLOCK_DOCS, BLOCK_SHINGLES, OVERLAP = 1024, 1 << 21, 64
 BATCH_BYTES = 1 << 20
-#: Rows that are broadcast to the scan of the texts: a block number and an id each.
+#: Rows that are broadcast to a scan of the texts: one or two numbers each.
 BROADCAST_ROWS = 500_000
 
 _IS_WORD = word_table(WHITE_SPACE)
@@ -65,9 +67,9 @@ _FACTOR = _SEED.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _POSITION = _SEED.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], seed: int = 0) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each lower-cased text."""
-    words, at = word_hashes(texts, _IS_WORD)
+    words, at = word_hashes(texts, _IS_WORD, seed=seed)
     n = max(0, len(words) - SHINGLE + 1)
     with np.errstate(over="ignore"):
         rolled = np.zeros(n, np.uint64)
@@ -305,15 +307,13 @@ def _across(orders: DataFrame, large: DataFrame, linked: DataFrame) -> DataFrame
     return rows.mapInArrow(compare, "block long, doc_id long")
 
 
-def exact_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the sets, as pairs of places; every intersection is exact."""
+def _intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of any two of the sets."""
     m = len(sets)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(m), sizes)
     flat = np.concatenate(sets) if m else np.zeros(0, np.uint64)
     if m == 2:
-        both = int(sizes.sum()) - len(np.unique(flat))
-        return [(0, 1)] if 100 * both >= percent * (int(sizes.sum()) - both) and both else []
+        return np.full((2, 2), len(flat) - len(np.unique(flat)), np.int64)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
     _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
     shared = count[column] > 1
     owner, column = owner[shared], column[shared]
@@ -327,7 +327,19 @@ def exact_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[in
         dense = np.zeros((m, min(4096, width - a)), np.float32)
         dense[owner[lo:hi], column[lo:hi] - a] = 1
         inter += dense @ dense.T
-    both = inter.astype(np.int64)
+    return inter.astype(np.int64)
+
+
+def exact_links(sets: list[np.ndarray], percent: int = PERCENT, again: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the sets, as pairs of places; every intersection is exact.
+
+    again: the same sets under another hash; an intersection is the smaller one of both.
+    """
+    m = len(sets)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    both = _intersections(sets)
+    if again is not None:
+        both = np.minimum(both, _intersections(again))
     linked = (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)) & (both > 0)
     np.fill_diagonal(linked, False)
     out, seen = [], np.zeros(m, bool)
@@ -344,15 +356,21 @@ def exact_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[in
     return out
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """With a broadcast hint if a count shows that it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _confirmed(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """a, b: exact links inside the groups."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(ids: list[int], texts: list[bytes]) -> list[tuple[int, int]]:
-            sets: list[np.ndarray] = []
+            sets: list[list[np.ndarray]] = [[], []]
             for a, b in groups_of(map(len, texts), BATCH_BYTES):
-                sets += shingle_sets(texts[a:b])
-            return [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in exact_links(sets) if ids[i] != ids[j]]
+                for seed, own in enumerate(sets):
+                    own += shingle_sets(texts[a:b], seed)
+            return [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in exact_links(sets[0], again=sets[1]) if ids[i] != ids[j]]
 
         block, ids, texts, found = None, [], [], []
         for batch in batches:
@@ -371,8 +389,7 @@ def _confirmed(docs: DataFrame, groups: DataFrame) -> DataFrame:
             a, b = zip(*found)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    wanted = F.broadcast(groups) if groups.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else groups
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(_small(groups), "doc_id")
     rows = rows.select("block", "doc_id", "text").repartition("block").sortWithinPartitions("block", "doc_id")
     return rows.mapInArrow(confirm, "a long, b long").distinct()
 
@@ -417,8 +434,7 @@ def labelled(docs: DataFrame) -> DataFrame:
     # the component of each set of several rows or of a linked representative; other rows are their own
     of_set = sets.join(linked, "doc_id", "left").filter("copies > 1 or component is not null").select("k1", "k2", F.coalesce("component", "doc_id").alias("component"))
     of_set = written(of_set, "set-components")
-    right = F.broadcast(of_set) if of_set.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else of_set
-    rows = signed.drop("sig").join(right, ["k1", "k2"], "left")
+    rows = signed.drop("sig").join(_small(of_set), ["k1", "k2"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
@@ -435,15 +451,14 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without the rows whose component has a smaller doc_id; of several rows of one doc_id one stays."""
-    rows = labelled(docs)
-    rows = written(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("__rows")), "kept-documents")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    once = rows.filter("kept").select(F.col("doc_id").alias("__d"), "__rows")
-    # whole texts are dealt once by doc_id, at every size alike; the ids grow with the documents and are never broadcast
-    found = docs.join(once.hint("merge"), F.col("doc_id").cast("long") == F.col("__d"))
-    out = found.filter("__rows = 1").select(*names).unionByName(docs.filter("doc_id is null"))
-    if not rows.filter("kept and __rows > 1").isEmpty():
-        out = out.unionByName(found.filter("__rows > 1").dropDuplicates(["__d"]).select(*names))
+    (d,) = unused(docs, "d")
+    rows = labelled(docs).filter("doc_id is not null").groupBy(F.col("doc_id").alias(d))
+    rows = written(rows.agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows")).filter("not kept or rows > 1"), "dropped-documents")
+    same = F.col("doc_id").cast("long") == F.col(d)
+    out = docs.join(_small(rows.select(d)), same, "left_anti")
+    again = rows.filter("kept").select(d)
+    if not again.isEmpty():
+        out = out.unionByName(docs.join(_small(again), same).dropDuplicates([d]).drop(d))
     return out
 
 

@@ -16,7 +16,8 @@ whose crc32(doc_id as text) mod 5 is not 0.
 Defined results: a null or empty text scores 0; with labels of one value every
 other text scores that value; without labels every text scores 1 (nothing is
 rejected for want of evidence); of several labels of a doc_id the smallest
-counts, and of several texts the first in order; ties among neighbours go to the earlier sample row; extra columns pass through kept().
+counts, and of several texts the first in order; ties among neighbours go to the earlier sample row; extra columns, whatever
+their names, pass through kept().
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import WHITE_SPACE, encoded, groups_of, mixed, word_hashes, word_table
+from tidemark.llm.common import WHITE_SPACE, encoded, groups_of, mixed, unused, word_hashes, word_table
 
 #: Labelled rows of each label value that the classifier is fitted on, at most.
 SAMPLE_ROWS = {0: 2048, 1: 4096}
@@ -158,8 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(x, got["quality"].to_numpy(), population)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with __score, the probability of label 1."""
+def scored(docs: DataFrame, model: Model, name: str = "__score") -> DataFrame:
+    """docs with a further column of that name, the probability of label 1."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     at = next(i for i, n in enumerate(names) if n == "text")
@@ -169,14 +170,15 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             for a, b in groups_of(pc.binary_length(batch.column(at)).fill_null(0).to_pylist(), BATCH_BYTES):
                 part = batch.slice(a, b - a)
                 s = held.value.scores(encoded(part.column(at).to_pylist(), lower=False))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], [*names, "__score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], [*names, name])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())]))
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def kept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that are not rejected, with their columns."""
-    return scored(docs, fit(docs, labels)).filter(F.col("__score") >= threshold).drop("__score")
+    (name,) = unused(docs, "score")
+    return scored(docs, fit(docs, labels), name).filter(F.col(name) >= threshold).drop(name)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import scratch, written
 
 ARCHIVE_BYTES = 16 << 20
+#: Most tasks that read archives at once; each takes its share of any number of them.
+MOST_READERS = 100_000
 #: Of a member that inflates to more, the records up to there are read.
 MOST_RECORD_BYTES = 1 << 30
 #: Keys of repeated payloads that are broadcast.
@@ -321,7 +323,8 @@ def read_archives(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
                 a, b, why = zip(*found.gaps)
                 yield pa.RecordBatch.from_arrays([pa.array([path] * len(a)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(why)], ["path", "gap_start", "gap_end", "reason"])
 
-    files = manifest.select("path").repartition("path")
+    # one partition for each archive: a few hundred bytes, which adaptive execution would read in one task
+    files = manifest.select("path").repartition(max(1, min(MOST_READERS, manifest.count())))
     return (
         files.mapInArrow(records, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"),
         files.mapInArrow(gaps, "path string, gap_start long, gap_end long, reason string"),
