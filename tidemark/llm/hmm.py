@@ -46,7 +46,8 @@ KNOWN = 1 << 21
 SEGMENT = 64
 #: Baum-Welch ends with the first round that gains less than this share of the log-likelihood.
 SETTLED = 1e-4
-SEGMENTS_AT_ONCE = 4096
+#: Segments of one step: rows of this length stay in the cache and below what BLAS would share out to threads.
+SEGMENTS_AT_ONCE = 2048
 BATCH_BYTES = 1 << 20
 #: Distinct tokens that a task holds before it passes its counts on.
 FLUSH = 1 << 21
@@ -253,41 +254,49 @@ class Hmm:
         return Hmm(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True), share / share.sum())
 
     def expected(self, segments: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Of padded segments (longest first): expected starts, shares, moves and emissions, and the log-likelihood, in one array."""
+        """Of padded segments (longest first): expected starts, shares, moves and emissions, and the log-likelihood, in one array.
+
+        States stand in rows and segments in columns, so that a step is a few operations on long rows.
+        """
         n, width = segments.shape
         out = np.zeros(PARAMETERS + 1)
         start, share, move, emit = _parts(out)
-        by_class, a = self.emit.T.astype(np.float32), self.move.astype(np.float32)
-        alive = [int(np.searchsorted(-lengths, -t, "left")) for t in range(width)]  # segments longer than t
-        alpha = np.zeros((width, n, STATES), np.float32)
-        scale = np.ones((width, n), np.float32)
+        by_state, a = self.emit.astype(np.float32), self.move.astype(np.float32)
+        back = np.ascontiguousarray(a.T)
+        alive = np.searchsorted(-lengths, -np.arange(width + 1), "left").tolist()  # segments longer than t
+        classes = np.ascontiguousarray(segments.T).astype(np.intp)
+        alpha = np.zeros((width, STATES, n), np.float32)
+        seen = np.empty((width, STATES, n), np.float32)  # emissions over the scales
+        scale = np.ones((width, n), np.float32)  # one over what the forward sums come to
         for t in range(width):
-            m = alive[t]
-            if not m:
-                break
-            ahead = np.where(first[:m, None], self.start, self.share).astype(np.float32) if t == 0 else alpha[t - 1, :m] @ a
-            x = ahead * by_class[segments[:m, t]]
-            scale[t, :m] = np.maximum(x.sum(1), 1e-30)
-            alpha[t, :m] = x / scale[t, :m, None]
-        beta = np.ones((n, STATES), np.float32)
+            k = alive[t]
+            x, e, c = alpha[t, :, :k], seen[t, :, :k], scale[t, :k]
+            np.take(by_state, classes[t, :k], axis=1, out=e, mode="clip")
+            if t:
+                np.matmul(back, alpha[t - 1, :, :k], out=x)
+            else:
+                x[:] = np.where(first[:k], self.start[:, None], self.share[:, None])
+            x *= e
+            np.add.reduce(x, axis=0, out=c)
+            np.reciprocal(np.maximum(c, 1e-30, out=c), out=c)
+            x *= c
+            e *= c
+        beta = np.ones((STATES, n), np.float32)
+        pairs = np.zeros((STATES, STATES))
         for t in range(width - 1, -1, -1):
-            m = alive[t]
-            if not m:
-                continue
-            k = alive[t + 1] if t + 1 < width else 0
-            if k:
-                y = by_class[segments[:k, t + 1]] * beta[:k] / scale[t + 1, :k, None]
-                move += self.move * (alpha[t, :k].T @ y)
-                beta[:k] = y @ a.T
-            gamma = alpha[t, :m] * beta[:m]
-            alpha[t, :m] = gamma / np.maximum(gamma.sum(1, keepdims=True), 1e-30)
-        out[PARAMETERS] = np.log(scale, dtype=np.float64).sum()
-        start += alpha[0, first].sum(0)
-        seen = np.arange(width)[:, None] < lengths[None, :]
-        cls, gamma = segments.T[seen].astype(np.int64), alpha[seen]
-        share += gamma.sum(0)
+            if k := alive[t + 1]:
+                y = seen[t + 1, :, :k]
+                y *= beta[:, :k]
+                pairs += alpha[t, :, :k] @ y.T
+                np.matmul(a, y, out=beta[:, :k])
+            alpha[t, :, : alive[t]] *= beta[:, : alive[t]]  # now the states' probabilities given the segment
+        move += self.move * pairs
+        out[PARAMETERS] = -np.log(scale, dtype=np.float64).sum()
+        start += alpha[0][:, first].sum(1)
+        flat = classes.ravel()  # padded places have no weight
         for s in range(STATES):
-            emit[s] += np.bincount(cls, weights=gamma[:, s], minlength=CLASSES)
+            emit[s] += np.bincount(flat, weights=alpha[:, s].ravel(), minlength=CLASSES)
+        share += emit.sum(1)
         return out
 
     def log10_forward(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -297,21 +306,23 @@ class Hmm:
         flat = np.concatenate([texts[i] for i in order]) if len(texts) else np.zeros(0, np.uint16)
         sizes = sizes[order]
         begin = np.cumsum(sizes) - sizes
-        by_class, total = self.emit.T.copy(), np.zeros(len(texts))
-        ahead = np.repeat(self.start[None, :], len(texts), 0)
+        total, back = np.zeros(len(texts)), np.ascontiguousarray(self.move.T)
+        ahead = np.repeat(self.start[:, None], len(texts), 1)
         m = len(texts)
         product, held = np.ones(len(texts)), 0
         for t in range(int(sizes[0]) if m else 0):
             while m and sizes[m - 1] <= t:
                 m -= 1
-            x = ahead[:m] * by_class[flat[begin[:m] + t]]
-            s = x.sum(1)
+            x = np.take(self.emit, flat[begin[:m] + t], axis=1)
+            x *= ahead[:, :m]
+            s = x.sum(0)
             product[:m] *= s
             held += 1
             if held == 16 or s.min() < 1e-12:  # logs of products of a few scales at once
                 total += np.log10(product)
                 product[:], held = 1.0, 0
-            ahead[:m] = (x / s[:, None]) @ self.move
+            x /= s
+            ahead = back @ x
         total += np.log10(product)
         out = np.zeros(len(texts))
         out[order] = total
