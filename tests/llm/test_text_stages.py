@@ -112,6 +112,63 @@ def test_license_regions_take_versions_and_any_length():
         assert (m.scan(b"granted to forever") or licenses.NONE)[4] == ("" if "+" in match else "l")
 
 
+def plain_matches(items, words, spans, joined, at):
+    """Where matches of items end that begin at word at, by recursion without an automaton."""
+    if not items:
+        return {at}
+    x, rest = items[0], items[1:]
+    if isinstance(x, bytes):
+        return plain_matches(rest, words, spans, joined, at + 1) if at < len(words) and words[at] == x else set()
+    if isinstance(x, list):
+        return plain_matches(rest, words, spans, joined, at) | plain_matches(x + rest, words, spans, joined, at)
+    least, most = x
+    out = set() if least else plain_matches(rest, words, spans, joined, at)
+    for end in range(at + 1, len(words) + 1):
+        size = spans[end - 1][1] - spans[at][0]
+        runs = 1 + sum(not joined[i] for i in range(at + 1, end))
+        if most is not None and (size > most or runs > -(-most // licenses.MEAN_WORD)):
+            break
+        if size >= least:
+            out |= plain_matches(rest, words, spans, joined, end)
+    return out
+
+
+def test_license_labels_match_plain_recursion():
+    rng = random.Random(8)
+    templates = [
+        ("a", "one <<var;match=.{0,12}>> two"),
+        ("b", "one <<beginOptional>>two <<var;match=.{3,9}>><<endOptional>> three <<beginOptional>>two<<endOptional>>"),
+        ("c", "<<beginOptional>>two <<beginOptional>>three<<endOptional>><<endOptional>> one <<var;match=.+>> one"),
+        ("d", "three <<var;match=.{1,8}>> <<var;match=.{0,5}>> one two"),
+        *licenses.TEMPLATES,
+    ]
+    machine = licenses.Scanner((), templates)
+    vocab = ["one", "two", "three", "é", "abcdefghijklmnop", "x", "abc"]
+    texts = [rng.choice(["{}", "{}."]).format(rng.choice([" ", "  ", ".", " "]).join(rng.choice(vocab) for _ in range(rng.randrange(0, 14)))) for _ in range(1500)]
+    for _, t in licenses.TEMPLATES:
+        plain = licenses._MARKUP.sub(lambda m: rng.choice(["", "any 4.0"]) if m[1].lower() == "var" else " ", t)
+        texts += [plain, "x " + plain + " y", plain.replace(" the ", " a ", 1), plain.upper()]
+    matched = 0
+    for text in texts:
+        data = text.encode().lower()
+        found = list(WORD.finditer(data))
+        spans = [(len(data[: m.start()].decode()), len(data[: m.end()].decode())) for m in found]
+        joined = [False] + [not re.search(rb"\s", data[x.end() : y.start()]) for x, y in zip(found, found[1:])]
+        w = [m[0] for m in found]
+        want = {label for label, t in templates if any(plain_matches(licenses._tree(t), w, spans, joined, i) - {i} for i in range(len(w)))}
+        got = machine.scan(data) or licenses.NONE
+        assert set(filter(None, got[4].split(","))) == want, text
+        matched += bool(want)
+    assert matched > 200
+
+
+def test_license_region_bounds_count_characters():
+    m = licenses.Scanner((), [("l", "foo <<var;name=a;match=.{0,12}>> bar")])
+    hit = lambda t: (m.scan(t.encode()) or licenses.NONE)[4]
+    assert hit("foo abcdefghijkl bar") == "l" and hit("foo abcdefghijklmnop bar") == "" and hit("foo bar") == "l"
+    assert hit("foo éééééééééééé bar") == "l" and hit("foo ééééééééééééé bar") == ""
+
+
 def test_license_scan_counts_base_places(spark):
     rng = random.Random(4)
     parts = ["under", "the", "MIT", "license", "Apache License,", "Version", "2", "2.0", "cc", "BY", "nc", "mit-license", "licenses"]

@@ -2,9 +2,10 @@
 
 A template is text in the markup of license lists: ``<<beginOptional>> ...
 <<endOptional>>`` may be left out, and ``<<var;name=...;match=...>>`` stands for
-any words (``match=".{0,N}"`` bounds them to about N characters, MEAN_WORD to a
-run of words without white space between, such as 4.0; other regions have no
-bound).  It compiles to an automaton over words; a text is accepted where the
+any words (``match=".{M,N}"`` bounds them to M to N characters from the first
+word's start to the last one's end, and to one run of words without white space
+between, such as 4.0, for every MEAN_WORD characters of N; ``.+`` asks for one
+word at least; other regions have no bound).  It compiles to an automaton over words; a text is accepted where the
 mandatory words stand exactly, one after another, whatever stands between
 words.  A phrase is a template without markup, and is found the same way.
 
@@ -56,6 +57,31 @@ TEMPLATES = (
     ("cc-by-sa", "<<beginOptional>>licensed under<<endOptional>> CC BY-SA <<beginOptional>>4.0<<endOptional>>"),
     ("cc-by", "Creative Commons Attribution <<var;name=version;match=.{0,6}>> <<beginOptional>>International<<endOptional>> License"),
     ("cc0-1", "CC0 1.0 Universal"),
+    ("cc-by-sa", "Creative Commons Attribution-ShareAlike <<var;name=version;match=.{0,12}>> <<beginOptional>>International<<endOptional>> License"),
+    ("cc-by-nd", "Creative Commons Attribution-NoDerivatives <<var;name=version;match=.{0,12}>> <<beginOptional>>International<<endOptional>> License"),
+    ("cc-by-nc-sa", "Creative Commons Attribution-NonCommercial-ShareAlike <<var;name=version;match=.{0,12}>> <<beginOptional>>International<<endOptional>> License"),
+    ("cc-by-nc-nd", "Creative Commons Attribution-NonCommercial-NoDerivatives <<var;name=version;match=.{0,12}>> <<beginOptional>>International<<endOptional>> License"),
+    (
+        "apache-2",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    ("gpl-3", "GNU General Public License v3 <<beginOptional>>or later<<endOptional>>"),
+    ("gpl-2", "GNU General Public License v2 <<beginOptional>>or later<<endOptional>>"),
+    ("epl-2", "made available under the terms of the Eclipse Public License <<beginOptional>>v<<endOptional>> 2.0"),
+    (
+        "zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+        "<<beginOptional>>1.<<endOptional>> The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+    ),
+    (
+        "bsl-1",
+        "Boost Software License - Version 1.0 <<beginOptional>>- <<var;name=date;match=.{0,30}>><<endOptional>>",
+    ),
+    (
+        "bsd",
+        "Neither the name of <<var;name=organization;match=.{1,120}>> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
     (
         "bsd",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
@@ -83,40 +109,68 @@ _BOUND = re.compile(r"match\s*=\s*\"?\.(?:\{(\d*),(\d+)\}|([*+]))", re.I)
 
 @dataclass
 class Automaton:
-    """words[i] is the word of state i or None for any word; after[i] the states that may follow; begin those that may start."""
+    """words[i] is the word of state i, or the least and most characters of a region; after[i] the states that may follow; begin those that may start."""
 
     label: str
-    words: list[bytes | None]
+    words: list[bytes | tuple[int, int | None]]
     after: list[set[int]]
     begin: set[int]
     final: set[int]
     anchor: list[bytes] = field(default_factory=list)
 
-    def places(self, text: list[bytes], joined: list[bool]) -> list[tuple[int, int]]:
+    def places(self, text: list[bytes], spans: list[tuple[int, int]], joined: list[bool]) -> list[tuple[int, int]]:
         """First and last word of the longest match from every word at which one begins.
 
-        joined[i]: no white space stands before word i; in a replaceable region it counts with the word before.
+        spans are the words' characters; joined[i]: no white space stands before word i.
         """
         starts = {self.words[i] for i in self.begin}
         found = []
         for at, word in enumerate(text):
-            if word not in starts and None not in starts:
+            if word not in starts:
                 continue
-            live = {i for i in self.begin if self.words[i] in (None, word)}
-            end, here = (at, at) if live & self.final else (-1, at)
+            live = {i: {(0, 0)} for i in self.begin if self.words[i] == word}  # of a region: where it may have begun, and its runs of words
+            end, here = (at if self._done(live, 0) else -1), at
             while live and here + 1 < len(text):
+                reached = spans[here][1]
                 here += 1
-                more = {i for i in live if self.words[i] is None} if joined[here] else set()
-                live = more | {j for i in live for j in self.after[i] if self.words[j] is None or self.words[j] == text[here]}
-                if live & self.final:
+                live = self._step(live, reached, text[here], *spans[here], not joined[here])
+                if self._done(live, spans[here][1]):
                     end = here
             if end >= 0:
                 found.append((at, end))
         return found
 
+    def _left(self, i: int, begun: set[tuple[int, int]], reached: int) -> bool:
+        """Whether what follows state i may come, if its words reach so far."""
+        return isinstance(self.words[i], bytes) or any(reached - b >= self.words[i][0] for b, _ in begun)
+
+    def _done(self, live: dict[int, set[tuple[int, int]]], reached: int) -> bool:
+        return any(i in self.final and self._left(i, begun, reached) for i, begun in live.items())
+
+    def _step(self, live: dict[int, set[tuple[int, int]]], reached: int, word: bytes, start: int, stop: int, apart: bool) -> dict[int, set[tuple[int, int]]]:
+        out: dict[int, set[tuple[int, int]]] = {}
+        for i, begun in live.items():
+            own = self.words[i]
+            if not isinstance(own, bytes):  # the region goes on
+                if own[1] is None:
+                    more = {min(begun)}
+                else:
+                    more = {(b, runs + apart) for b, runs in begun if stop - b <= own[1] and runs + apart <= -(-own[1] // MEAN_WORD)}
+                if more:
+                    out.setdefault(i, set()).update(more)
+            if self._left(i, begun, reached):
+                for j in self.after[i]:
+                    following = self.words[j]
+                    if isinstance(following, bytes):
+                        if following == word:
+                            out[j] = {(0, 0)}
+                    elif following[1] is None or stop - start <= following[1]:
+                        out.setdefault(j, set()).add((start, 1))
+        return out
+
 
 def _tree(template: str) -> list:
-    """Words, bounds (None: without) of replaceable regions and nested lists of optional parts, in order."""
+    """Words, bounds of replaceable regions (the upper one None: without) and nested lists of optional parts, in order."""
     stack: list[list] = [[]]
 
     def add(text: str) -> None:
@@ -137,8 +191,7 @@ def _tree(template: str) -> list:
         else:
             bound = _BOUND.search(m[2])
             least = int(bound[1] or 0) if bound and bound[2] else int(bool(bound and bound[3] == "+"))
-            most = -(-int(bound[2]) // MEAN_WORD) if bound and bound[2] else None
-            stack[-1].append((min(least, 1), most))
+            stack[-1].append((least, int(bound[2]) if bound and bound[2] else None))
     if len(stack) != 1:
         raise ValueError("beginOptional without endOptional")
     add(template[at:])
@@ -149,7 +202,7 @@ def compiled(label: str, template: str) -> Automaton:
     """The automaton of a template; a template needs at least one mandatory word."""
     out = Automaton(label, [], [], set(), set())
 
-    def state(word: bytes | None) -> int:
+    def state(word: bytes | tuple[int, int | None]) -> int:
         out.words.append(word)
         out.after.append(set())
         return len(out.words) - 1
@@ -161,13 +214,9 @@ def compiled(label: str, template: str) -> Automaton:
                 inner, inner_open = chain(x, set(ends), open_)
                 ends, open_ = ends | inner, open_ or inner_open
             elif isinstance(x, tuple):
-                least, most = x
-                for k in range(1 if most is None else most):
-                    new = state(None)
-                    link(ends, open_, new)
-                    if most is None:
-                        out.after[new].add(new)
-                    ends, open_ = (ends | {new}, open_) if k >= least else ({new}, False)
+                new = state(x)
+                link(ends, open_, new)
+                ends, open_ = ({new}, False) if x[0] else (ends | {new}, open_)
             else:
                 new = state(x)
                 link(ends, open_, new)
@@ -177,7 +226,7 @@ def compiled(label: str, template: str) -> Automaton:
     def link(ends: set[int], open_: bool, new: int) -> None:
         for i in ends:
             out.after[i].add(new)
-        if open_ and out.words[new] is not None:
+        if open_ and isinstance(out.words[new], bytes):
             out.begin.add(new)
 
     items = _tree(template)
@@ -214,8 +263,12 @@ class Scanner:
         found = list(_WORD.finditer(text))
         words = [m[0] for m in found]
         joined = [False, *(not _SPACE.search(text, a.end(), b.start()) for a, b in zip(found, found[1:]))]
-        base = [(a.label, p) for a in self.base if tuple(a.anchor) in held for p in a.places(words, joined)]
-        more = [(a.label, p) for a in self.more if tuple(a.anchor) in held for p in a.places(words, joined)]
+        spans = [m.span() for m in found]
+        if not text.isascii():  # bytes to characters
+            at = np.append(0, np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80))
+            spans = [(int(at[a]), int(at[b])) for a, b in spans]
+        base = [(a.label, p) for a in self.base if tuple(a.anchor) in held for p in a.places(words, spans, joined)]
+        more = [(a.label, p) for a in self.more if tuple(a.anchor) in held for p in a.places(words, spans, joined)]
         covered, reach = 0, -1
         for first, last in sorted(p for _, p in base + more):
             covered += max(0, last - max(first - 1, reach))
