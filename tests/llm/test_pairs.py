@@ -34,7 +34,8 @@ def test_top_k_is_exact(spark, seed):
 
 
 def test_top_k_in_query_blocks_and_of_nothing(spark, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    for name, rows in (("TILE_ROWS", 3), ("RANGE_ROWS", 7), ("BLOCK_ROWS", 4), ("QUERY_ROWS", 2), ("SEED_ROWS", 6)):
+        monkeypatch.setattr(topk, name, rows)
     rows = [(i, [float(i % 5), 1.0]) for i in range(60)]
     q = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     got = sorted(tuple(r) for r in topk.top_k(q, q.filter("vec_id % 6 = 0"), 4).collect())

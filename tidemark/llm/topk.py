@@ -1,14 +1,19 @@
 """Exact top-k search by integer inner product over norm-sorted vectors.
 
-Method.  Candidates are ranged over the cluster by descending length, so that a
-task holds vectors of like length and meets the longest first.  A task works in
-blocks.  For a block it drops every query whose length times the block's
-greatest length is below the k-th best score known (Cauchy-Schwarz).  For the
-others it takes partial sums over the leading coordinates of an SVD rotation
-and adds the product of the residual lengths; a pair whose bound is below the
-query's k-th best score is dropped.  What is left gets its exact integer
-product.  The k-th best scores start from the longest vectors of all, which
-the driver scores before (a fixed number of rows), so each task prunes from its first block.
+Method.  Candidates are cut into ranges by descending length.  The longest
+vectors of all (SEED_ROWS, the only ones that are broadcast) give every query a
+k-th best score to begin with; the query goes to those ranges alone whose
+greatest length times its own can reach it (Cauchy-Schwarz).  Queries meet
+candidates where both are rows: a task holds one range of candidates and
+streams the queries past it, in tiles of queries dealt by their ids.  It works
+in blocks, longest candidates first.  For a block it drops every query whose
+length times the block's greatest length is below the query's k-th best score.
+For the others it takes partial sums over the leading coordinates of an SVD
+rotation and adds the product of the residual lengths; a pair whose bound is
+below that score is dropped.  What is left gets its exact integer product.
+
+Nothing that grows with the queries or the candidates reaches the driver but
+one number for each range and each tile.
 
 Defined results: vectors that are null, or hold a null or a non-finite
 component, and rows without id take no part.  Vectors are compared with those
@@ -26,12 +31,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Longest vectors that give the first bounds, rows that fit the rotation, and queries of one broadcast block.
+from tidemark.llm.common import written
+
+#: Longest vectors that give the first bounds, and rows that fit the rotation.
 SEED_ROWS = 4096
 ROTATION_ROWS = 4096
-QUERY_BLOCK = 16384
-#: Candidates scored at once, and leading rotated coordinates of the partial sums.
-BLOCK_ROWS = 1024
+#: Candidates of a range at most (fewer while there are fewer ranges than tasks), and at least; queries of a tile on average.
+RANGE_ROWS, LEAST_RANGE_ROWS, TILE_ROWS = 65536, 2048, 1 << 18
+#: Candidates and queries scored at once, and leading rotated coordinates of the partial sums.
+BLOCK_ROWS, QUERY_ROWS = 1024, 2048
 LEADING = 16
 #: Share of surviving pairs from which a block is multiplied whole.
 DENSE = 0.02
@@ -82,12 +90,11 @@ def _rotation(sample: np.ndarray) -> np.ndarray:
 class _Best:
     """The k best (score, id) of each query so far."""
 
-    def __init__(self, count: int, k: int, bound: np.ndarray) -> None:
+    def __init__(self, k: int, bound: np.ndarray) -> None:
         self.k, self.bound = k, bound.copy()
         self.q = np.zeros(0, np.int64)
         self.score = np.zeros(0, np.int64)
         self.id = np.zeros(0, np.int64)
-        self.count = count
 
     def add(self, q: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         if not len(q):
@@ -105,27 +112,45 @@ class _Best:
         self.q, self.score, self.id = q[keep], score[keep], ids[keep]
 
 
-def _search(best: _Best, q_ids, q, q_rot, q_norm, q_rest, ids, c, basis) -> None:
-    """Meets one block of candidates; bounds are widened by the rounding of their sums."""
-    c_norm = np.sqrt((c.astype(np.float64) ** 2).sum(1))
-    near = np.flatnonzero(q_norm * c_norm.max(initial=0.0) * (1 + 1e-9) + 1e-6 >= best.bound)
-    if not len(near) or not len(c):
-        return
-    lead = min(LEADING, c.shape[1])
-    c_rot = c.astype(np.float64) @ basis[:, :lead]
-    c_rest = np.sqrt(np.maximum(c_norm**2 - (c_rot**2).sum(1), 0.0)) + 1e-6 * (1 + c_norm)
-    bound = q_rot[near] @ c_rot.T + q_rest[near][:, None] * c_rest[None, :]
-    bound += 1e-9 * q_norm[near][:, None] * c_norm[None, :] + 1e-6
-    rows, cols = np.nonzero(bound >= best.bound[near][:, None])
-    if not len(rows):
-        return
-    if len(rows) >= DENSE * bound.size:
-        scores = _products(q[near], c)[rows, cols]
-    else:
-        scores = np.concatenate([(q[near[rows[i : i + 65536]]] * c[cols[i : i + 65536]]).sum(1) for i in range(0, len(rows), 65536)])
-    hit = near[rows]
-    keep = (scores >= best.bound[hit]) & (q_ids[hit] != ids[cols])
-    best.add(hit[keep], scores[keep], ids[cols[keep]])
+class _Blocks:
+    """Candidates of one dimension, longest first, in blocks with their partial sums."""
+
+    def __init__(self, ids: np.ndarray, c: np.ndarray, basis: np.ndarray) -> None:
+        self.basis = basis[:, : min(LEADING, c.shape[1])]
+        self.blocks = []
+        norm, rot, rest = _measured(c, self.basis)
+        for i in range(0, len(ids), BLOCK_ROWS):
+            part = slice(i, i + BLOCK_ROWS)
+            self.blocks.append((ids[part], c[part], norm[part], rot[part], rest[part]))
+
+    def search(self, q_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int) -> _Best:
+        """The k best of each query; bounds are widened by the rounding of their sums."""
+        best = _Best(k, bound)
+        q_norm, q_rot, q_rest = _measured(q, self.basis)
+        for ids, c, norm, rot, rest in self.blocks:
+            near = np.flatnonzero(q_norm * norm.max() * (1 + 1e-9) + 1e-6 >= best.bound)
+            if not len(near):
+                continue
+            most = q_rot[near] @ rot.T + q_rest[near][:, None] * rest[None, :]
+            most += 1e-9 * q_norm[near][:, None] * norm[None, :] + 1e-6
+            rows, cols = np.nonzero(most >= best.bound[near][:, None])
+            if not len(rows):
+                continue
+            if len(rows) >= DENSE * most.size:
+                scores = _products(q[near], c)[rows, cols]
+            else:
+                scores = np.concatenate([(q[near[rows[i : i + 65536]]] * c[cols[i : i + 65536]]).sum(1) for i in range(0, len(rows), 65536)])
+            hit = near[rows]
+            keep = (scores >= best.bound[hit]) & (q_ids[hit] != ids[cols])
+            best.add(hit[keep], scores[keep], ids[cols[keep]])
+        return best
+
+
+def _measured(x: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths, leading rotated coordinates, and lengths of what they leave out (rounded up)."""
+    x = x.astype(np.float64)
+    norm, rot = np.sqrt((x * x).sum(1)), x @ basis
+    return norm, rot, np.sqrt(np.maximum(norm**2 - (rot**2).sum(1), 0.0)) + 1e-6 * (1 + norm)
 
 
 def _kth_best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
@@ -142,56 +167,93 @@ def _kth_best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray,
     return bound
 
 
+def _ranges(spark, vectors: DataFrame) -> tuple[DataFrame, list[float]]:
+    """The candidates with their range, written, and the greatest length in each range that has any."""
+    n = vectors.count()
+    ranges = max(1, -(-n // RANGE_ROWS), min(-(-n // LEAST_RANGE_ROWS), spark.sparkContext.defaultParallelism))
+    dealt = vectors.repartitionByRange(ranges, F.desc("n2"), F.asc("vec_id")).withColumn("range", F.spark_partition_id())
+    dealt = written(dealt, "ranged-vectors")
+    longest = {r.range: float(r.n2) ** 0.5 for r in dealt.groupBy("range").agg(F.max("n2").alias("n2")).collect()}
+    for i in range(max(longest, default=-1), -1, -1):  # a range without rows is as long as the next one
+        longest[i] = max(longest.get(i, 0.0), longest.get(i + 1, 0.0))
+    return dealt, [longest[i] for i in range(len(longest))]
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of vectors for each row of queries.
 
-    Both come from quantised().  Queries are met in blocks of QUERY_BLOCK, so
-    that what is broadcast has a fixed size whatever the number of queries.
+    Both come from quantised().
     """
     spark = vectors.sparkSession
-    fit = vectors.select("v").orderBy(F.xxhash64("v")).limit(ROTATION_ROWS).toArrow()
-    longest = vectors.orderBy(F.desc("n2"), "vec_id").limit(SEED_ROWS).toArrow()
-    sample = {m.shape[1]: m for _, m in _matrix(fit["v"])} if fit.num_rows else {}
-    seed_ids = longest["vec_id"].to_numpy()
-    seeds = {m.shape[1]: (seed_ids[rows], m) for rows, m in _matrix(longest["v"])} if longest.num_rows else {}
-    bases = {d: _rotation(m) for d, m in sample.items()}
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    sorted_rows = vectors.repartitionByRange(F.desc("n2"), F.asc("vec_id")).sortWithinPartitions(F.desc("n2"), F.asc("vec_id"))
-    found: DataFrame | None = None
-    for block in range(blocks):
-        own = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block)
-        asked = own.select("vec_id", "v").toArrow()
-        by_dim = {}
-        if asked.num_rows:
-            all_ids = asked["vec_id"].to_numpy()
-            for rows, q in _matrix(asked["v"]):
-                d = q.shape[1]
-                basis = bases.setdefault(d, np.eye(d))
-                norm = np.sqrt((q.astype(np.float64) ** 2).sum(1))
-                rot = q.astype(np.float64) @ basis[:, : min(LEADING, d)]
-                rest = np.sqrt(np.maximum(norm**2 - (rot**2).sum(1), 0.0)) + 1e-6 * (1 + norm)
-                ids = all_ids[rows]
-                seed = seeds.get(d, (np.zeros(0, np.int64), np.zeros((0, d), np.int64)))
-                by_dim[d] = (ids, q, rot, norm, rest, _kth_best(ids, q, *seed, k), basis)
-        held = spark.sparkContext.broadcast(by_dim)
-
-        def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            asked = held.value
-            best = {d: _Best(len(x[0]), k, x[5]) for d, x in asked.items()}
-            for batch in batches:
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                for rows, c in _matrix(batch.column(1)) if batch.num_rows else []:
-                    if (x := asked.get(c.shape[1])) is None:
-                        continue
-                    for i in range(0, len(rows), BLOCK_ROWS):
-                        part = slice(i, i + BLOCK_ROWS)
-                        _search(best[c.shape[1]], *x[:5], ids[rows[part]], c[part], x[6])
-            for d, b in best.items():
-                if len(b.q):
-                    yield pa.RecordBatch.from_arrays([pa.array(asked[d][0][b.q]), pa.array(b.id), pa.array(b.score)], ["query_id", "vec_id", "score"])
-
-        part = sorted_rows.select("vec_id", "v").mapInArrow(search, "query_id long, vec_id long, score long")
-        found = part if found is None else found.unionByName(part)
+    candidates, longest = _ranges(spark, vectors)
+    fit = candidates.select("v").orderBy(F.xxhash64("v")).limit(ROTATION_ROWS).toArrow()
+    bases = {m.shape[1]: _rotation(m) for _, m in _matrix(fit["v"])} if fit.num_rows else {}
+    top = candidates.select("vec_id", "v", "n2").orderBy(F.desc("n2"), "vec_id").limit(SEED_ROWS).toArrow()
+    top_ids = top["vec_id"].to_numpy()
+    seeds = {m.shape[1]: (top_ids[rows], m) for rows, m in _matrix(top["v"])} if top.num_rows else {}
+    held = spark.sparkContext.broadcast((bases, seeds, np.array(longest)))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds each query's first bound and the last range that can reach it."""
+        _, seeds, longest = held.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, norm = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)) for i in (0, 2))
+            bound = np.full(len(ids), np.iinfo(np.int64).min, np.int64)
+            for rows, q in _matrix(batch.column(1)):
+                if (seed := seeds.get(q.shape[1])) is not None:
+                    bound[rows] = _kth_best(ids[rows], q, *seed, k)
+            need = np.where(bound > 0, bound / np.maximum(np.sqrt(norm), 1e-9) * (1 - 1e-9) - 1e-6, 0.0)
+            last = np.searchsorted(-longest, -need, "right") - 1  # ranges stand by descending length
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bound), pa.array(last.astype(np.int32))], ["vec_id", "v", "n2", "bound", "last"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bases = held.value[0]
+        mark, held_rows, blocks = None, [], {}
+
+        def met(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            ids, bound = (np.asarray(part.column(i).to_numpy(zero_copy_only=False)) for i in (3, 5))
+            for rows, q in _matrix(part.column(4)):
+                if (own := blocks.get(q.shape[1])) is None:
+                    continue
+                for i in range(0, len(rows), QUERY_ROWS):
+                    r = rows[i : i + QUERY_ROWS]
+                    b = own.search(ids[r], q[i : i + QUERY_ROWS], bound[r].astype(np.int64), k)
+                    if len(b.q):
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[r][b.q]), pa.array(b.id), pa.array(b.score)], ["query_id", "vec_id", "score"])
+
+        for batch in batches:
+            names = [np.asarray(batch.column(i).to_numpy(zero_copy_only=False)) for i in (0, 1, 2)]
+            cuts = [0, *(np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if a == b:
+                    continue
+                own, part = (int(names[0][a]), int(names[1][a])), batch.slice(a, b - a)
+                if own != mark:
+                    mark, held_rows, blocks = own, [], {}
+                if not names[2][a]:  # candidates stand before the queries
+                    held_rows.append(part.select([3, 4]))
+                    continue
+                if held_rows:
+                    whole = pa.Table.from_batches(held_rows).combine_chunks()
+                    ids = whole.column(0).to_numpy()
+                    blocks = {m.shape[1]: _Blocks(ids[rows], m, bases.get(m.shape[1], np.eye(m.shape[1]))) for rows, m in _matrix(whole.column(1))}
+                    held_rows = []
+                yield from met(part)
+
+    tiles = max(1, -(-queries.count() // TILE_ROWS))
+    asked = queries.select("vec_id", "v", "n2").mapInArrow(bounded, "vec_id long, v array<long>, n2 double, bound long, last int")
+    asked = written(asked.filter("last >= 0").withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.lit(tiles)).cast("int")), "bounded-queries")
+    reach = {r.tile: r.last for r in asked.groupBy("tile").agg(F.max("last").alias("last")).collect()}
+    if not reach:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    wanted = F.array(*[F.struct(F.lit(t).alias("tile"), F.lit(x).alias("last")) for t, x in sorted(reach.items())])
+    left = candidates.select("*", F.explode(wanted).alias("for")).filter("range <= for.last")
+    left = left.select("range", "for.tile", F.lit(False).alias("asks"), "vec_id", "v", F.lit(None).cast("long").alias("bound"), "n2")
+    right = asked.select(F.explode(F.sequence(F.lit(0), F.col("last"))).alias("range"), "tile", F.lit(True).alias("asks"), "vec_id", "v", "bound", "n2")
+    met = left.unionByName(right).repartition("range", "tile").sortWithinPartitions("range", "tile", "asks", F.desc("n2"), "vec_id").drop("n2")
+    found = met.mapInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
