@@ -13,7 +13,9 @@ first where it speaks: lines inside elements that are menus, headers, footers,
 sidebars, notices, adverts, forms or reader comments go; lines inside an
 article or main element stay and are never deleted as shared; when a page has
 such an element, text outside it goes.  Differencing decides the rest: the
-lines of pages without that markup.
+lines of pages without that markup, and inside an article the blocks whose
+class or id only resembles boilerplate (``share-price``, ``notice-text``):
+these go where the neighbour has them too.
 
 The order is cut into blocks at keys taken from the table itself (the keys of
 least hash), so that a host of any size is spread over the cluster.  Hosts that
@@ -43,9 +45,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import groups_of
 
-#: Pages of a block on average, and most block limits held by a task.
+#: Pages of a block on average, most block limits held by a task, and pages drawn for each limit.
 BLOCK_PAGES = 2048
-MOST_BLOCKS = 65536
+MOST_BLOCKS = 16384
+DRAWN = 32
 #: Lines times lines aligned in one piece; beyond, the alignment is cut in two, as exactly.
 EXACT_CELLS = 400_000_000
 #: Bytes of html parsed from one Arrow batch at a time.
@@ -65,6 +68,11 @@ BAD_NAMES = re.compile(
     r"|widgets?|login|sign-?(?:in|up)|search\w*|toolbar|pagination|pager|skip-?link|hidden|paywall)(?:$|[-_\s])",
     re.I,
 )
+#: Names that mean boilerplate even inside an article.
+SURE_NAMES = frozenset(
+    "ad ads adbox adsense advert adverts advertisement advertising sponsored cookie-notice cookie-banner cookie-consent newsletter newsletter-signup sidebar breadcrumb breadcrumbs pagination"
+    " comments comment-list commentlist reader-comments replies disqus disqus_thread related-posts related-articles share-buttons social-share social-links paywall".split()
+)
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^<>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -73,29 +81,38 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
-def _is_boilerplate(name: str, attrs: str, inside: bool) -> bool:
+def _is_boilerplate(name: str, attrs: str, inside: bool) -> bool | None:
+    """Whether an element is boilerplate; None inside an article if its name only resembles it."""
     if name in DROPPED or (name == "header" and not inside):
         return True
     if not attrs or attrs.isspace() or name in ("html", "body", "article", "main"):
         return False
+    answer: bool | None = False
     for m in ATTRIBUTE.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if key in ("class", "id") and BAD_NAMES.search(value):
-            return True
+            if not inside or not SURE_NAMES.isdisjoint(value.lower().split()):
+                return True
+            answer = None
         if key == "role" and value.lower() in BAD_ROLES:
             return True
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             return True
-    return False
+    return answer
+
+
+#: What markup says of a line: nothing, that it is of an article or main element, or of one there whose name resembles boilerplate.
+OPEN, HELD, DOUBTED = 0, 1, 2
 
 
-def lines_of(html: str | None) -> tuple[list[str], list[bool]]:
-    """Text lines outside boilerplate elements, and for each whether an article or main element holds it."""
+def lines_of(html: str | None) -> tuple[list[str], list[int]]:
+    """Text lines outside boilerplate elements, and for each what markup says of it."""
     lines: list[str] = []
-    kept: list[bool] = []
+    kept: list[int] = []
     parts: list[str] = []
     stack: list[str] = []
     dropped_from: int | None = None  # depth of the outermost boilerplate element
+    doubted_from: int | None = None  # and of the outermost one that resembles it
     inside = 0  # open article and main elements
 
     def flush() -> None:
@@ -104,12 +121,14 @@ def lines_of(html: str | None) -> tuple[list[str], list[bool]]:
             parts.clear()
             if line := " ".join((unescape(text) if "&" in text else text).split()):
                 lines.append(line)
-                kept.append(inside > 0)
+                kept.append(OPEN if not inside else HELD if doubted_from is None else DOUBTED)
 
     def cut(depth: int) -> None:
-        nonlocal dropped_from, inside
+        nonlocal dropped_from, doubted_from, inside
         inside -= sum(x in KEPT for x in stack[depth:])
         del stack[depth:]
+        if doubted_from is not None and depth <= doubted_from:
+            doubted_from = None
         if dropped_from is not None and depth <= dropped_from:
             dropped_from = None
             parts.clear()
@@ -145,8 +164,11 @@ def lines_of(html: str | None) -> tuple[list[str], list[bool]]:
             parts.append(" ")
         if name in VOID or m["attrs"].endswith("/") and name not in BLOCKS:
             continue
-        if dropped_from is None and _is_boilerplate(name, m["attrs"], inside > 0):
-            dropped_from = len(stack)
+        if dropped_from is None and (said := _is_boilerplate(name, m["attrs"], inside > 0)) is not False:
+            if said:
+                dropped_from = len(stack)
+            elif doubted_from is None:
+                doubted_from = len(stack)
         stack.append(name)
         inside += name in KEPT
     if dropped_from is None and at < len(html):
@@ -206,12 +228,11 @@ def _aligned_once(own: list[str], other: list[str]) -> set[int]:
     return shared_lines(own[:half], other[:j]) | {half + i for i in shared_lines(own[half:], other[j:])}
 
 
-def main_text(lines: list[str], kept: list[bool], other: list[str] | None) -> str:
+def main_text(lines: list[str], kept: list[int], other: list[str] | None) -> str:
     """The text that stays of a page, given its neighbour's lines."""
-    if any(kept):
-        return "\n".join(line for line, k in zip(lines, kept) if k)
-    gone = shared_lines(lines, other) if other and other != lines else set()
-    return "\n".join(line for i, line in enumerate(lines) if i not in gone)
+    asked = DOUBTED if any(kept) else OPEN  # the lines that differencing decides
+    gone = shared_lines(lines, other) if asked in kept and other and other != lines else set()
+    return "\n".join(line for i, (line, k) in enumerate(zip(lines, kept)) if k == HELD or (k == asked and i not in gone))
 
 
 def _address(url: str | None) -> tuple[str, str]:
@@ -298,8 +319,8 @@ def extract(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     blocks = min(MOST_BLOCKS, rows.select("page_id").count() // BLOCK_PAGES)
-    chosen = rows.select("page_id", "url").orderBy(F.xxhash64("url", "page_id"), "url", "page_id").limit(blocks).collect() if blocks else []
-    limits = sorted((*_address(r.url), r.page_id if r.page_id is not None else -1) for r in chosen)
+    chosen = rows.select("page_id", "url").orderBy(F.xxhash64("url", "page_id"), "url", "page_id").limit(DRAWN * blocks).collect() if blocks else []
+    limits = sorted((*_address(r.url), r.page_id if r.page_id is not None else -1) for r in chosen)[DRAWN - 1 :: DRAWN]
     held = spark.sparkContext.broadcast((limits, _halo(rows, limits)))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +337,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     found.append((bisect_right(at, (host, path, -1 if page_id is None else page_id)), *row, False))
                     if (host, path, page_id, url) in near:
                         found += [(block, *row, True) for block in halo.get((host, path, page_id, url, _hash(lines)), ())]
-                kinds = (pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.bool_())
+                kinds = (pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int8()), pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["block", "page_id", "url", "host", "path", "lines", "kept", "halo"])
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,7 +375,7 @@ def extract(pages: DataFrame) -> DataFrame:
         if done:
             yield out()
 
-    parsed = rows.mapInArrow(parse, "block int, page_id long, url string, host string, path string, lines array<string>, kept array<boolean>, halo boolean")
+    parsed = rows.mapInArrow(parse, "block int, page_id long, url string, host string, path string, lines array<string>, kept array<tinyint>, halo boolean")
     order = ["block", "host", "path", "page_id", "url"]
     return parsed.repartition("block").sortWithinPartitions(*order).mapInArrow(differ, "page_id long, url string, text string, n_chars long")
 
