@@ -5,21 +5,27 @@ stands (part, seq), how many tokens the shards before it in its part hold
 (base), its documents and its grammar blob.  Parquet is the container because
 Spark's committer then publishes shards exactly once on any store it can write.
 
-A blob is little-endian: magic ``RPG1``; uint32 first nonterminal, rules,
-symbols, tokens, width of a symbol (2 or 4 bytes), step of the index; then the
-rules (left, right) as symbols, the rules' expansion lengths (uint32), the
-sequence of symbols, and for every step-th symbol the number of tokens before
-it (uint64).  A rule refers to terminals and to earlier rules only.
-
-Compression.  A round counts all adjacent pairs, makes the most frequent ones
-nonterminals and replaces them from left to right; rounds repeat until no pair
-is frequent or the symbols run out.  Expansion lengths let a reader take any
+A blob is little-endian: magic ``RPG2``, uint32 number of sections, for each
+section its tokens and bytes (uint64), then the sections; a section has at most
+SHARD_TOKENS tokens.  A section begins with uint32 terminals, rules, symbols,
+tokens, width of a symbol (2 or 4 bytes), step of the index; then the token ids
+that the terminals stand for (uint32), the rules (left, right) as symbols, the
+rules' expansion lengths (uint32), the sequence of symbols, and for every
+step-th symbol the number of tokens before it (uint64).  Symbols below the
+number of terminals are terminals; a rule refers to terminals and to earlier
+rules only.
+
+Compression.  Pairs are counted exactly, and the most frequent ones are replaced
+first: a round takes all pairs that occur at least ``level`` times, the more
+frequent before the less frequent where they overlap; level is halved once no
+pair reaches it, and the section is done when none reaches LEAST_COUNT.  No
+pair that occurs so often is left.  Expansion lengths let a reader take any
 range of tokens without expanding what stands before it.
 
 Defined results: a null or empty text holds the end id alone; documents stand in
 ascending doc_id order, null first, those of one id in the order of their
 texts; a document is never split, so a longer document than a shard has a
-larger shard of its own.  An empty table gives no shards.
+larger shard of its own, of several sections.  An empty table gives no shards.
 """
 
 from __future__ import annotations
@@ -41,60 +47,103 @@ from tidemark.llm.common import scratch
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
-#: Most rounds and rules of a shard, and the least occurrences of a pair.
-ROUNDS = 5
-MOST_RULES = 16000
+#: Pairs that occur less often are not replaced.
 LEAST_COUNT = 8
-#: Bits of the bins in which pairs are counted; a full bin stands for one of its pairs.
-PAIR_BITS = 18
 INDEX_STEP = 4096
 #: Words whose ids a worker remembers, in each of two generations.
 MEMO_WORDS = 400_000
 
-_HEAD = struct.Struct("<4s6I")
+_HEAD = struct.Struct("<6I")
+#: Bounds of a pair's occurrences that stand for "not known" and "no pair begins here".
+_UNKNOWN, _NONE = 65535, 0
 
 
-def pair_rounds(ids: np.ndarray, first: int, most_rules: int = MOST_RULES, rounds: int = ROUNDS, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
-    """The sequence left and the rules (n x 2) of a Re-Pair grammar of ids."""
-    x = ids.astype(np.uint32)
+def _places(mask: np.ndarray) -> np.ndarray:
+    """Where a sparse mask, of a length that eight divides, is true."""
+    eights = np.flatnonzero(mask.view(np.uint64))
+    inner = np.flatnonzero(mask.reshape(-1, 8)[eights])
+    return (eights[inner >> 3] << 3) | (inner & 7)
+
+
+def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence left and the rules (n x 2) of a Re-Pair grammar of ids, all of them below first.
+
+    Symbols stay where they are and are chained to the next and the previous
+    one left.  A pair of symbols occurs less and less often after the round that
+    made it, so places whose pair is known to be too rare for a level are not
+    counted again before the level sinks.
+    """
+    n = len(ids)
+    x, left_over = ids.astype(np.uint32), np.ones(n, bool)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)  # n and -1 stand beyond the ends
+    bound = np.full(-(-(n + 1) // 8) * 8, _NONE, np.uint16)
+    bound[: max(0, n - 1)] = _UNKNOWN
+    rank = np.full(n + 1, n, np.int64)
+    place_bits = np.uint64(n.bit_length())
     rules: list[np.ndarray] = []
-    made = 0
-    for turn in range(rounds):
-        room = (most_rules - made) // 2 if turn < rounds - 1 else most_rules - made
-        if len(x) < 2 * least or room <= 0:
-            break
-        bins = (x[:-1] * np.uint32(0x9E3779B1) + x[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - PAIR_BITS)
-        full = np.bincount(bins, minlength=1 << PAIR_BITS)
-        top = np.argpartition(full, -room)[-room:] if room < len(full) else np.arange(len(full))
-        hot = np.zeros(len(full), bool)
-        hot[top[full[top] >= least]] = True
-        spots = np.flatnonzero(hot[bins])
-        own = bins[spots]
-        codes = (x[spots].astype(np.uint64) << np.uint64(32)) | x[spots + 1]
-        pair = np.zeros(len(full), np.uint64)
-        pair[own] = codes  # of pairs that share a bin, the one that stands last
-        same = pair[own] == codes
-        spots, own = spots[same], own[same]
-        # of overlapping places, every second one from the left
-        head = np.ones(len(spots), bool)
-        head[1:] = spots[1:] != spots[:-1] + 1
-        at = np.arange(len(spots))
-        take = (at - np.maximum.accumulate(np.where(head, at, 0))) % 2 == 0
-        spots, own = spots[take], own[take]
-        used = np.bincount(own, minlength=len(full)) >= 2
-        number = np.cumsum(used) - 1
+    made, level = 0, 0
+    while True:
+        p = _places(bound >= min(max(level, least), _UNKNOWN))
+        left, right = x[p], x[after[p]]
+        twins = p[left == right]
+        if len(twins):  # of a run of one symbol, every second place
+            at = np.arange(len(twins))
+            head = np.append(True, twins[1:] != after[twins[:-1]])
+            odd = twins[(at - np.maximum.accumulate(np.where(head, at, 0))) % 2 == 1]
+            stay = ~np.isin(p, odd, assume_unique=True)
+            p, left, right = p[stay], left[stay], right[stay]
+        bits = np.uint64((first + made).bit_length())
+        code = (left.astype(np.uint64) << bits) | right
+        if 2 * int(bits) + int(place_bits) <= 64:
+            code = np.sort((code << place_bits) | p.astype(np.uint64))
+            p, code = (code & np.uint64((1 << int(place_bits)) - 1)).view(np.int64), code >> place_bits
+        else:
+            order = np.argsort(code, kind="stable")
+            p, code = p[order], code[order]
+        cut = np.append(np.flatnonzero(np.append(True, code[1:] != code[:-1])), len(code)) if len(code) else np.zeros(1, np.int64)
+        count = np.diff(cut)
+        bound[p] = np.repeat(np.minimum(count, _UNKNOWN - 1), count)
+        bound[twins] = _UNKNOWN  # which places of a run count changes with its ends
+        level = level or max(least, (int(count.max(initial=0)) + 1) // 2)
+        hot = np.flatnonzero(count >= level)
+        if not len(hot):
+            if level <= least:
+                break
+            level = max(least, level // 2)
+            continue
+        hot = hot[np.argsort(-count[hot], kind="stable")]
+        size, begin = count[hot], cut[hot]
+        spots = p[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        rank[spots] = np.repeat(np.arange(len(hot)), size)
+        taken, ranks = [], []
+        while len(spots):  # a place goes to the more frequent of the pairs that overlap there
+            own, a, b = rank[spots], before[spots], after[spots]
+            wins = (own < rank[a]) & (own < rank[b])
+            taken.append(spots[wins])
+            ranks.append(own[wins])
+            for x_ in (taken[-1], a[wins], b[wins]):
+                rank[x_] = n
+            spots = spots[rank[spots] < n]
+        spots, own = np.concatenate(taken), np.concatenate(ranks)
+        used = np.bincount(own, minlength=len(hot)) >= least  # the most frequent one always is
+        number = np.cumsum(used) - 1 + first + made
         stay = used[own]
         spots, own = spots[stay], own[stay]
-        if not len(spots):
-            break
-        kept = pair[used]
-        rules.append(np.stack([kept >> np.uint64(32), kept & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        x[spots] = (number[own] + (first + made)).astype(np.uint32)
-        stays = np.ones(len(x), bool)
-        stays[spots + 1] = False
-        x = x[stays]
-        made += len(kept)
-    return x, (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32))
+        pairs = code[begin[used]]
+        rules.append(np.stack([pairs >> bits, pairs & np.uint64((1 << int(bits)) - 1)], 1).astype(np.uint32))
+        made += len(pairs)
+        x[spots] = number[own]
+        gone = after[spots]
+        beyond = after[gone]
+        left_over[gone] = False
+        bound[gone] = _NONE
+        after[spots] = beyond
+        inside = beyond < n
+        before[beyond[inside]] = spots[inside]
+        bound[spots] = np.where(inside, _UNKNOWN, _NONE)
+        a = before[spots]
+        bound[a[a >= 0]] = _UNKNOWN
+    return x[left_over], (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32))
 
 
 def _lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -110,37 +159,48 @@ def _lengths(rules: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
-def _symbol(first: int, rules: int) -> str:
-    return "<u2" if first + rules <= 1 << 16 else "<u4"
+def _section(ids: np.ndarray) -> bytes:
+    """The bytes of a section of token ids below 2**31."""
+    if len(ids) and int(ids.max()) < 1 << 22:
+        met = np.bincount(ids) > 0
+        terminals, x = np.flatnonzero(met), (np.cumsum(met) - 1)[ids]
+    else:
+        terminals, x = np.unique(ids, return_inverse=True)
+    first = len(terminals)
+    x, rules = grammar(x, first)
+    lengths = _lengths(rules, first)
+    kind = "<u2" if first + len(rules) <= 1 << 16 else "<u4"
+    each = np.append(np.ones(first, np.int64), lengths)[x]
+    before = np.cumsum(each) - each
+    head = _HEAD.pack(first, len(rules), len(x), len(ids), int(kind[-1]), INDEX_STEP)
+    return head + terminals.astype("<u4").tobytes() + rules.astype(kind).tobytes() + lengths.astype("<u4").tobytes() + x.astype(kind).tobytes() + before[::INDEX_STEP].astype("<u8").tobytes()
 
 
 def encode_shard(ids: np.ndarray) -> bytes:
     """The blob of a sequence of token ids below 2**31."""
-    first = int(ids.max()) + 1 if len(ids) else 0
-    x, rules = pair_rounds(ids, first)
-    lengths = _lengths(rules, first)
-    kind = _symbol(first, len(rules))
-    each = np.where(x >= first, lengths[np.maximum(x.astype(np.int64) - first, 0)], 1) if len(rules) else np.ones(len(x), np.int64)
-    before = np.cumsum(each) - each
-    head = _HEAD.pack(b"RPG1", first, len(rules), len(x), len(ids), int(kind[-1]), INDEX_STEP)
-    return head + rules.astype(kind).tobytes() + lengths.astype("<u4").tobytes() + x.astype(kind).tobytes() + before[::INDEX_STEP].astype("<u8").tobytes()
+    cuts = range(0, len(ids), SHARD_TOKENS)
+    parts = [_section(ids[i : i + SHARD_TOKENS]) for i in cuts]
+    sizes = np.array([(min(SHARD_TOKENS, len(ids) - i), len(x)) for i, x in zip(cuts, parts)], "<u8")
+    return struct.pack("<4sI", b"RPG2", len(parts)) + sizes.tobytes() + b"".join(parts)
 
 
-class Shard:
-    """Reads a blob; expansions of rules are laid out once, in one array."""
+class Section:
+    """Reads a section; expansions of rules are laid out once, in one array."""
 
-    def __init__(self, blob: bytes) -> None:
-        magic, self.first, rules, symbols, self.tokens, width, self.step = _HEAD.unpack_from(blob)
-        if magic != b"RPG1" or width not in (2, 4):
-            raise ValueError("not a shard")
+    def __init__(self, data: memoryview) -> None:
+        self.first, rules, symbols, self.tokens, width, self.step = _HEAD.unpack_from(data)
+        if width not in (2, 4):
+            raise ValueError("not a section")
         kind, at = f"<u{width}", _HEAD.size
-        self.rules = np.frombuffer(blob, kind, 2 * rules, at).reshape(-1, 2).astype(np.int64)
+        self.terminals = np.frombuffer(data, "<u4", self.first, at)
+        at += 4 * self.first
+        self.rules = np.frombuffer(data, kind, 2 * rules, at).reshape(-1, 2).astype(np.int64)
         at += 2 * rules * width
-        self.lengths = np.frombuffer(blob, "<u4", rules, at).astype(np.int64)
+        self.lengths = np.frombuffer(data, "<u4", rules, at).astype(np.int64)
         at += 4 * rules
-        self.sequence = np.frombuffer(blob, kind, symbols, at)
+        self.sequence = np.frombuffer(data, kind, symbols, at)
         at += symbols * width
-        self.index = np.frombuffer(blob, "<u8", -(-symbols // self.step), at).astype(np.int64)
+        self.index = np.frombuffer(data, "<u8", -(-symbols // self.step), at).astype(np.int64)
         self._expanded: tuple[np.ndarray, np.ndarray] | None = None
 
     def _table(self) -> tuple[np.ndarray, np.ndarray]:
@@ -162,26 +222,55 @@ class Shard:
         rule = symbols.astype(np.int64) - self.first
         is_rule = rule >= 0
         if not is_rule.any():
-            return symbols.astype(np.uint32)
+            return self.terminals[symbols]
         safe = np.maximum(rule, 0)
         sizes = np.where(is_rule, self.lengths[safe], 1)
         ends = np.cumsum(sizes)
         source = np.repeat(np.where(is_rule, begin[safe], 0) - (ends - sizes), sizes) + np.arange(int(ends[-1]))
         out = flat[np.minimum(source, len(flat) - 1)]
-        out[(ends - sizes)[~is_rule]] = symbols[~is_rule]
+        out[(ends - sizes)[~is_rule]] = self.terminals[symbols[~is_rule]]
         return out
 
-    def decode(self, start: int = 0, count: int | None = None) -> np.ndarray:
-        """count tokens from start on; only the symbols that cover them are expanded."""
-        count = self.tokens - start if count is None else min(count, self.tokens - start)
-        if count <= 0:
-            return np.zeros(0, np.uint32)
+    def decode(self, start: int, end: int) -> np.ndarray:
+        """Tokens from start to end; only the symbols that cover them are expanded."""
         low = int(np.searchsorted(self.index, start, "right") - 1)
-        high = int(np.searchsorted(self.index, start + count, "left"))
+        high = int(np.searchsorted(self.index, end, "left"))
         begin, flat = self._table()
         part = self._expand(self.sequence[low * self.step : high * self.step], begin, flat)
         skip = start - int(self.index[low])
-        return part[skip : skip + count]
+        return part[skip : skip + end - start]
+
+
+class Shard:
+    """Reads a blob, section by section."""
+
+    def __init__(self, blob: bytes) -> None:
+        magic, count = struct.unpack_from("<4sI", blob)
+        if magic != b"RPG2":
+            raise ValueError("not a shard")
+        sizes = np.frombuffer(blob, "<u8", 2 * count, 8).astype(np.int64).reshape(-1, 2)
+        ends = 8 + 16 * count + np.cumsum(sizes[:, 1])
+        self.sections = [Section(memoryview(blob)[e - n : e]) for e, n in zip(ends.tolist(), sizes[:, 1].tolist())]
+        self.ends = np.cumsum(sizes[:, 0]).tolist()
+        self.tokens = self.ends[-1] if count else 0
+
+    @property
+    def rules(self) -> np.ndarray:
+        return np.concatenate([np.zeros((0, 2), np.int64), *(x.rules for x in self.sections)])
+
+    @property
+    def lengths(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *(x.lengths for x in self.sections)])
+
+    def decode(self, start: int = 0, count: int | None = None) -> np.ndarray:
+        """count tokens from start on."""
+        end = self.tokens if count is None else min(start + count, self.tokens)
+        out = [np.zeros(0, np.uint32)]
+        for own, stop in zip(self.sections, self.ends):
+            base = stop - own.tokens
+            if (a := max(start, base)) < (b := min(end, stop)):
+                out.append(own.decode(a - base, b - base))
+        return np.concatenate(out)
 
 
 #: Texts of ASCII and of Latin-1 letters, and the tokenizer's own split of such a text in lower case.
@@ -299,7 +388,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, shard_tokens:
             yield out()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(pack, SHARDS).write.parquet(path)
+    rows.repartitionByRange(F.col("doc_id"), F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text").mapInArrow(pack, SHARDS).write.parquet(path)
     return path
 
 
