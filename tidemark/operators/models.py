@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, IDFModel, Normalizer, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import CLASSIFIER_TOKEN, grams, tokens, without
@@ -40,17 +42,36 @@ class TextFeatures:
         return df.withColumn("__words", words).withColumn("__terms", grams(F.col("__words"), self.ngram_max)).drop("__words")
 
     def transform(self, df: DataFrame, text_col: str) -> DataFrame:
-        """df with features."""
-        counted = self.counts.transform(self.terms(df, text_col)).drop("__terms")
+        """df with features: counts become weights in Arrow batches, over the values of all rows of a batch."""
+        counted = self.counts.transform(self.terms(df, text_col)).drop("__terms").withColumnRenamed("__counts", "features")
         idf = df.sparkSession.sparkContext.broadcast(self.idf.idf.toArray() + 1.0)
-
-        @F.udf(VectorUDT())
-        def weighted(v):
-            w = (1.0 + np.log(v.values)) * idf.value[v.indices]
-            size = np.sqrt((w * w).sum())
-            return SparseVector(v.size, v.indices, w / size if size else w)
-
-        return counted.withColumn("features", weighted("__counts")).drop("__counts")
+        at = len(counted.columns) - 1
+
+        def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                vectors = batch.column(at)
+                fields = [vectors.field(i) for i in range(4)]  # kind, size, indices, values of sparse vectors
+                index, value = (np.asarray(fields[i].flatten().to_numpy(zero_copy_only=False)) for i in (2, 3))
+                w = (1.0 + np.log(value)) * idf.value[index]
+                row = np.repeat(np.arange(batch.num_rows), fields[3].value_lengths().to_numpy(zero_copy_only=False))
+                size = np.sqrt(np.bincount(row, weights=w * w, minlength=batch.num_rows))
+                ends = np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows))).astype(np.int32)
+                fields[3] = pa.ListArray.from_arrays(pa.array(ends), pa.array(w / size[row]), type=fields[3].type)
+                yield batch.set_column(at, batch.schema.field(at), pa.StructArray.from_arrays(fields, fields=list(vectors.type)))
+
+        return counted.mapInArrow(weighted, counted.schema)
+
+    def save(self, spark: SparkSession, path: str, overwrite: bool = False) -> None:
+        """Vocabulary, idf and settings under path."""
+        save(self.counts, f"{path}/counts", overwrite)
+        save(self.idf, f"{path}/idf", overwrite)
+        said = json.dumps({"pattern": self.pattern, "ngram_max": self.ngram_max, "stop": self.stop})
+        spark.createDataFrame([(said,)], "value string").coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").text(f"{path}/settings")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "TextFeatures":
+        said = json.loads(spark.read.text(f"{path}/settings").first().value)
+        return TextFeatures(CountVectorizerModel.load(f"{path}/counts"), IDFModel.load(f"{path}/idf"), said["pattern"], said["ngram_max"], said["stop"])
 
 
 def fit_features(train: DataFrame, text_col: str, *, min_df: int = 3, max_df: float = 1.0, max_features: int = 50_000, ngram_max: int = 2, pattern: str = CLASSIFIER_TOKEN, stop: list[str] | None = None) -> TextFeatures:
@@ -127,3 +148,13 @@ def save(model, path: str, overwrite: bool = False) -> None:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def save_text_model(spark: SparkSession, features: TextFeatures, model: PipelineModel, path: str, overwrite: bool = False) -> None:
+    """Features and model, so that texts can be scored from the artifact alone."""
+    features.save(spark, f"{path}/features", overwrite)
+    save(model, f"{path}/model", overwrite)
+
+
+def load_text_model(spark: SparkSession, path: str) -> tuple[TextFeatures, PipelineModel]:
+    return TextFeatures.load(spark, f"{path}/features"), load(f"{path}/model")

@@ -13,15 +13,16 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import is_blank, text_hash
+from tidemark.functions.text import stripped, text_hash
 from tidemark.operators.guards import require_columns
 
 
 def usable(df: DataFrame, id_col: str, day_col: str, label_col: str, text_col: str) -> DataFrame:
-    """Rows with text, label and date, with narrative_hash."""
+    """Rows with text, label and date, the first two trimmed, with narrative_hash."""
     require_columns(df, (id_col, day_col, label_col, text_col), "split source")
-    fit = ~is_blank(F.col(text_col)) & ~is_blank(F.col(label_col)) & F.col(day_col).isNotNull()
-    return df.filter(fit).withColumn("narrative_hash", text_hash(F.col(text_col)))
+    rows = df.withColumns({text_col: stripped(F.col(text_col)), label_col: stripped(F.col(label_col))})
+    fit = (F.col(text_col) != "") & (F.col(label_col) != "") & F.col(day_col).isNotNull()
+    return rows.filter(fit).withColumn("narrative_hash", text_hash(F.col(text_col)))
 
 
 def staged(rows: DataFrame, windows: dict[str, tuple[dt.date, dt.date]], id_col: str, day_col: str, label_col: str) -> DataFrame:

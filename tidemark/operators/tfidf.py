@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import CLASSIFIER_TOKEN, grams, tokens, without
@@ -27,5 +27,5 @@ def vocabulary(counts: DataFrame, documents: Column | int, min_df: int = 1, max_
 def weights(counts: DataFrame, terms: DataFrame) -> DataFrame:
     """doc_id, term, weight; a document without known terms has no rows (the zero vector)."""
     raw = counts.join(terms.select("term", "idf"), "term").select("doc_id", "term", ((1 + F.log(F.col("tf").cast("double"))) * F.col("idf")).alias("w"))
-    size = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
-    return raw.join(size, "doc_id").select("doc_id", "term", (F.col("w") / F.col("size")).alias("weight"))
+    size = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+    return raw.select("doc_id", "term", (F.col("w") / size).alias("weight"))

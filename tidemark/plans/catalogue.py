@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +12,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import iso, month, monday, parsed_date
 from tidemark.functions.text import TOPIC_TOKEN, stripped, text_hash, tokens, word_count
-from tidemark.operators import metrics, models, profile, retrieval, splits, tfidf, topics, weekly
+from tidemark.operators import guards, metrics, models, profile, retrieval, splits, tfidf, topics, weekly
 from tidemark.plans import adapters as ad
+from tidemark.plans import stages
 from tidemark.plans import warehouse as wh
+from tidemark.sinks.files import write_csv
+from tidemark.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,18 +95,136 @@ def _classifier(s, d):
     """Test-split predictions of the text classifier chosen on the validation split."""
     stages = splits.staged(_usable(s, d), ad.WINDOWS, "complaint_id", "date_received", "product")
     part = {n: splits.kept(stages, n) for n in ad.WINDOWS}
-    got = models.train(part["train"], part["validation"], part["test"], text_col="narrative", label_col="product", candidates=[1.0], max_iterations=25, min_df=5, max_features=2000, ngram_max=1)
+    got = models.train(part["train"], part["validation"], part["test"], text_col="narrative", label_col="product", candidates=[0.5, 1.0], max_iterations=25, min_df=5, max_features=2000, ngram_max=1)
     return got["predictions"]
 
 
+def _indexed(s, d):
+    """Metadata, vocabulary and weights of the distinct narratives, each by its smallest id."""
+    rows = ad.narratives(s, d).select(text_hash(F.col("narrative")).alias("narrative_hash"), F.struct("complaint_id", "product", "narrative").alias("r"))
+    docs = rows.groupBy("narrative_hash").agg(F.min("r").alias("r")).select("narrative_hash", "r.*")
+    return retrieval.index(docs, "complaint_id", "narrative", ["product"], "narrative_hash", ngram_max=1, min_df=2)
+
+
 def _text_search(s, d):
     """The five texts nearest to the benchmark's first item, by TF-IDF cosine."""
-    docs = ad.narratives(s, d).withColumn("narrative_hash", text_hash(F.col("narrative"))).dropDuplicates(["narrative_hash"])
-    meta, terms, corpus = retrieval.index(docs, "complaint_id", "narrative", ["product"], ngram_max=1, min_df=2)
+    meta, terms, corpus = _indexed(s, d)
     text = s.read.parquet(f"{d}/benchmark.parquet").orderBy("item_id").first()["text"]
     return retrieval.search(terms, corpus, meta, text, 5, ngram_max=1)
 
 
+def _index_size(s, d):
+    meta, terms, corpus = _indexed(s, d)
+    return meta.agg(F.count("*").alias("documents")).crossJoin(terms.agg(F.count("*").alias("terms"))).crossJoin(corpus.agg(F.count("*").alias("non_zeros")))  # one row each
+
+
+#: Words that the stop-word query leaves out.
+STOP = ["de", "la", "of", "the"]
+
+
+def _gram_weights(s, d):
+    """Weights of the 400 most frequent of all words and pairs of words, without stop words."""
+    docs = ad.narratives(s, d)
+    counts = tfidf.term_counts(docs, "complaint_id", "narrative", ngram_max=2, stop=STOP)
+    return tfidf.weights(counts, tfidf.vocabulary(counts, docs.count(), min_df=3, max_df=0.9, max_features=400))
+
+
+def _padded_states(s, d):
+    """What the splits make of labels and texts with white space around them; the first row by date, then id, stays."""
+    i = F.col("complaint_id")
+    pad = lambda c, k: F.when(i % 3 == k, F.concat(F.lit(" \t"), c)).when(i % 3 == k + 1, F.concat(c, F.lit("\n "))).otherwise(c)
+    rows = ad.narratives(s, d).withColumns({"product": pad(F.col("product"), 0), "narrative": pad(F.col("narrative"), 1)})
+    rows = splits.usable(rows, "complaint_id", "date_received", "product", "narrative")
+    return splits.staged(rows, ad.WINDOWS, "complaint_id", "date_received", "product").select("complaint_id", "product", F.char_length("narrative").cast("long").alias("characters"), "split", "state")
+
+
+def _fit_rows(s, d):
+    """Training and validation rows together, which the chosen model is fitted on."""
+    stages = _stages(s, d).cache()
+    both = splits.kept(stages, "train").unionByName(splits.kept(stages, "validation"))
+    return both.groupBy("product").agg(F.count("*").alias("rows"), F.countDistinct("narrative_hash").alias("texts"))
+
+
+def _model_summary(s, d):
+    p = ad.predictions(s, d)
+    majority = metrics.confusion(metrics.majority_predictions(p, p))
+    return wh.model_summary(metrics.summary(metrics.confusion(p)), metrics.summary(majority), metrics.calibration_summary(p, ad.CLASSES))
+
+
+def _folder(s, name: str) -> str:
+    """A new folder that driver and executors share; a temporary one only where the session runs on one machine."""
+    found = s.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not s.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="tidemark-files-")
+    return f"{found.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def _csv_source(s, d):
+    """The text-typed source, written as CSV and read back; absent fields are null, blank ones stay."""
+    path = _folder(s, "source-csv")
+    write_csv(ad.source(s, d), path)
+    back = files.read_csv(s, path, ["complaint_id", "date_text", "product", "issue", "narrative"])
+    return back.select("complaint_id", parsed_date(F.col("date_text")).alias("day"), stripped(F.col("product")).alias("product"), "issue", text_hash(F.col("narrative")).alias("narrative_hash"))
+
+
+def _csv_assignments(s, d):
+    path = _folder(s, "assignments-csv")
+    write_csv(ad.assignments(s, d), path)
+    return files.read_assignments(s, path).groupBy("date_received", "topic_id").agg(F.count("*").alias("rows"))
+
+
+def _csv_weekly(s, d):
+    """The weekly table through CSV and back to its types."""
+    path = _folder(s, "weekly") + ".csv"
+    write_csv(weekly.with_terms(_scores(s, d), ad.topics(s, d), 2), path)
+    return _rounded(stages.typed_weekly(s, path)).select("topic_id", "week_start", "topic_count", "total_complaints", "topic_share", "history_weeks", "robust_z_score", "candidate_signal", "alert", "severity", "topic_terms")
+
+
+def _published(s, d):
+    """Rows of each view that is published over the warehouse tables."""
+    scores = _scores(s, d)
+    tables = {"fact_complaint_topic": _facts(s, d), "fact_weekly_topic_metric": scores, "fact_risk_alert": weekly.alerts(scores), "dim_topic": _dim(s, d), "fact_model_summary": _model_summary(s, d)}
+    tables["fact_model_class_metric"] = wh.class_metrics(metrics.per_class(_matrix(s, d)).select(F.col("label").alias("product"), "precision", "recall", F.col("f1").alias("f1_score"), "support"))
+    out = None
+    for name in wh.publish(s, tables):
+        rows = s.table(name).agg(F.lit(name).alias("view_name"), F.count("*").alias("rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _prepared(s, d):
+    """The preparation stage's table from a source with its own column names."""
+    names = {"complaint_id": "Complaint ID", "date_text": "Date received", "product": "Product", "issue": "Issue", "narrative": "Consumer complaint narrative"}
+    source = ad.source(s, d).withColumnsRenamed(names)
+    out = stages.prepared(source, ["complaint_id", "date_received", "product", "issue", "narrative"])
+    return out.select("complaint_id", "date_received", "product", "issue", text_hash(F.col("narrative")).alias("narrative_hash"))
+
+
+def _guarded(s, d):
+    """Whether each guard lets sound rows pass and refuses the others."""
+
+    def refused(act) -> bool:
+        try:
+            act()
+        except (ValueError, RuntimeError):
+            return True
+        return False
+
+    docs = ad.narratives(s, d)
+    facts = _facts(s, d)
+    undated = facts.withColumn("date_received", F.when(F.col("complaint_id") > 1, F.col("date_received")))
+    seen = [
+        ("text column", refused(lambda: guards.forbid_text_columns(docs, "t")), refused(lambda: guards.forbid_text_columns(facts, "t"))),
+        ("missing column", refused(lambda: guards.require_columns(docs, ["none"], "t")), refused(lambda: guards.require_columns(docs, ["issue"], "t"))),
+        ("missing date", refused(lambda: weekly.grid(undated, *ad.MONITOR).count()), refused(lambda: weekly.grid(facts, *ad.MONITOR).count())),
+        ("blank split rows", refused(lambda: files.load_split(docs.withColumn("product", F.lit(" ")), "narrative", "product")), refused(lambda: files.load_split(_usable(s, d), "narrative", "product"))),
+        ("shared texts", refused(lambda: retrieval.require_no_overlap(docs, docs, "narrative")), refused(lambda: retrieval.require_no_overlap(docs.filter("false"), docs, "narrative"))),
+    ]
+    return s.createDataFrame(seen, "guard string, refuses_bad boolean, refuses_good boolean")
+
+
 def _validated(s, d):
     scores = _scores(s, d)
     return wh.checks(_facts(s, d).filter(F.col("date_received").between(*map(F.lit, ad.MONITOR))), scores, weekly.alerts(scores), *ad.MONITOR).withColumn("maximum_weekly_share_sum_error", F.col("maximum_weekly_share_sum_error") < 1e-8)
@@ -152,6 +275,8 @@ def queries() -> dict[str, Query]:
         "split_train": _split("train"),
         "split_validation": _split("validation"),
         "split_test": _split("test"),
+        "split_padded_states": _padded_states,
+        "split_fit_rows": _fit_rows,
         "split_stats": lambda s, d: splits.statistics(_stages(s, d)),
         "split_labels": lambda s, d: splits.label_distribution(_stages(s, d), "product"),
         "split_overlap": lambda s, d: splits.overlaps(_stages(s, d)),
@@ -166,6 +291,7 @@ def queries() -> dict[str, Query]:
         "top_confusions": lambda s, d: metrics.top_confusions(_matrix(s, d), 5),
         "calibration_bins": lambda s, d: metrics.calibration_bins(ad.predictions(s, d), ad.CLASSES),
         "calibration_summary": lambda s, d: metrics.calibration_summary(ad.predictions(s, d), ad.CLASSES),
+        "model_summary_view": _model_summary,
         "model_class_table": lambda s, d: _rounded(wh.class_metrics(metrics.per_class(_matrix(s, d)).select(F.col("label").alias("product"), "precision", "recall", F.col("f1").alias("f1_score"), "support"))),
         # retrieval
         "cosine_topk": lambda s, d: _rounded(_vector_search(s, d)),
@@ -177,6 +303,15 @@ def queries() -> dict[str, Query]:
         "tfidf_weights": lambda s, d: _rounded((lambda c: tfidf.weights(c, tfidf.vocabulary(c, ad.narratives(s, d).count(), min_df=3)))(_counts(s, d))),
         "topic_tokens": lambda s, d: ad.narratives(s, d).select("complaint_id", F.size(tokens(F.col("narrative"), TOPIC_TOKEN)).cast("long").alias("n_tokens")),
         "text_search": _text_search,
+        "text_index_size": _index_size,
+        "tfidf_gram_weights": lambda s, d: _rounded(_gram_weights(s, d)),
+        # files
+        "csv_source_rows": _csv_source,
+        "csv_assignments": _csv_assignments,
+        "csv_weekly_table": _csv_weekly,
+        "prepared_table": _prepared,
+        "published_views": _published,
+        "guard_outcomes": _guarded,
         # topics and models
         "cluster_sizes": lambda s, d: topics.cluster_sizes(ad.assignments(s, d), 7),
         "cluster_description": lambda s, d: topics.describe(ad.assignments(s, d), 7),
@@ -333,6 +468,19 @@ _TF = r"""w AS (
   SELECT term, count(*) AS df, ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + count(*))) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) >= 3)"""
 
 
+_TOKEN = r"[\p{L}\p{M}\p{Nd}\p{Pc}]{2,}"
+_INDEX = f"""w AS (
+  SELECT k.doc_id, unnest(regexp_extract_all(lower(coalesce(n.narrative, '')), '{_TOKEN}')) AS term FROM k JOIN n ON n.complaint_id = k.doc_id
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2
+), df AS (
+  SELECT term, count(*) AS df, ln((1 + (SELECT count(*) FROM k))::DOUBLE / (1 + count(*))) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) >= 2
+), raw AS (
+  SELECT doc_id, term, (1 + ln(tf::DOUBLE)) * idf AS w FROM tf JOIN df USING (term)
+), x AS (
+  SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM raw)"""
+
+
 def _r(columns: str, places: int = 6) -> str:
     return ", ".join(f"round({c}, {places}) AS {c}" for c in columns.split())
 
@@ -346,6 +494,9 @@ def oracle_sql() -> dict[str, str]:
     base = "baseline_share_median share_increase robust_z_score"
     split = "SELECT complaint_id, date_received, product, issue, narrative_hash, split FROM st WHERE state = 'kept' AND split = '{}'"
     majority = _P.replace("doc_id % 5 = 0 THEN ['de', 'en', 'es', 'fr'][CAST(doc_id % 4 + 1 AS INTEGER)] ELSE lang END", "true THEN (SELECT lang FROM documents GROUP BY 1 ORDER BY count(*) DESC, lang LIMIT 1) END")
+    calibration = f"""WITH {_P}, x AS (SELECT bin, count(*) AS n, sum(confidence) AS c, count(*) FILTER (WHERE correct) AS h FROM j JOIN ed ON confidence >= lo AND (confidence < hi OR bin = 9 AND confidence <= hi) GROUP BY 1)
+            SELECT (SELECT round(sum(abs(h - c)) / sum(n), 6) FROM x) AS expected_calibration_error, round(avg(-ln(own)), 6) AS multiclass_log_loss, round(avg(sq - 2 * own + 1), 6) AS multiclass_brier_score, round(avg(confidence), 6) AS mean_confidence,
+            round(avg(confidence) FILTER (WHERE correct), 6) AS mean_confidence_correct, round(avg(confidence) FILTER (WHERE NOT correct), 6) AS mean_confidence_incorrect FROM j"""
     return {
         "weekly_topic_grid": f"WITH {_G} SELECT topic_id, week_start, topic_count, total_complaints, {_r('topic_share', 9)} FROM g",
         "weekly_topic_scores": f"WITH {_S} SELECT topic_id, week_start, topic_count, total_complaints, history_weeks, candidate_signal, persistent_signal_count, alert, severity, {_r('topic_share baseline_share_scale baseline_count_mean ' + base)} FROM s",
@@ -402,9 +553,7 @@ def oracle_sql() -> dict[str, str]:
         "top_confusions": f"WITH {_P}, x AS (SELECT *, sum(n) OVER (PARTITION BY actual) AS t FROM m) SELECT actual, predicted, n, round(100::DOUBLE * n / t, 2) AS share_of_actual_pct FROM x WHERE actual <> predicted AND n > 0 ORDER BY n DESC, actual, predicted LIMIT 5",
         "calibration_bins": f"""WITH {_P} SELECT bin, round(lo, 2) AS lower, round(hi, 2) AS upper, count(confidence) AS n, round(avg(confidence), 6) AS mean_confidence, round(avg(correct::INTEGER::DOUBLE), 6) AS accuracy
             FROM ed LEFT JOIN j ON confidence >= lo AND (confidence < hi OR bin = 9 AND confidence <= hi) GROUP BY 1, 2, 3""",
-        "calibration_summary": f"""WITH {_P}, x AS (SELECT bin, count(*) AS n, sum(confidence) AS c, count(*) FILTER (WHERE correct) AS h FROM j JOIN ed ON confidence >= lo AND (confidence < hi OR bin = 9 AND confidence <= hi) GROUP BY 1)
-            SELECT (SELECT round(sum(abs(h - c)) / sum(n), 6) FROM x) AS expected_calibration_error, round(avg(-ln(own)), 6) AS multiclass_log_loss, round(avg(sq - 2 * own + 1), 6) AS multiclass_brier_score, round(avg(confidence), 6) AS mean_confidence,
-            round(avg(confidence) FILTER (WHERE correct), 6) AS mean_confidence_correct, round(avg(confidence) FILTER (WHERE NOT correct), 6) AS mean_confidence_incorrect FROM j""",
+        "calibration_summary": calibration,
         "model_class_table": f"WITH {_P} SELECT label AS product, {_r('precision recall')}, round(f1, 6) AS f1_score, support FROM pm",
         "cosine_topk": f"""WITH {_V}, sim AS (SELECT q.doc_id AS query_id, c.doc_id, list_sum(list_transform(range(1, len(q.u) + 1), lambda i: q.u[i] * c.u[i])) AS similarity FROM un q JOIN un c ON q.doc_id % 20 = 0 AND q.doc_id <> c.doc_id),
             rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, doc_id) AS r FROM sim) SELECT query_id, CAST(r AS INTEGER) AS rank, doc_id, round(similarity, 6) AS similarity FROM rk WHERE r <= 5""",
@@ -414,6 +563,29 @@ def oracle_sql() -> dict[str, str]:
         "balanced_query_sample": f"WITH {_V} SELECT doc_id, product FROM (SELECT *, row_number() OVER (PARTITION BY product ORDER BY sha256(CAST(doc_id AS VARCHAR) || ':42'), doc_id) AS r FROM v) WHERE r <= 10",
         "term_document_frequency": f"WITH {_TF} SELECT term, df, round(idf, 6) AS idf FROM df WHERE df <= 0.7::DOUBLE * (SELECT count(*) FROM documents)",
         "tfidf_weights": f"WITH {_TF}, x AS (SELECT doc_id, term, (1 + ln(tf::DOUBLE)) * idf AS w FROM tf JOIN df USING (term)) SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM x",
+        "text_search": f"""WITH {_N}, k AS (SELECT min(complaint_id) AS doc_id FROM n GROUP BY t), {_INDEX}, b AS (SELECT text FROM benchmark ORDER BY item_id LIMIT 1),
+            qt AS (SELECT unnest(regexp_extract_all(lower(text), '{_TOKEN}')) AS term FROM b), qf AS (SELECT term, (1 + ln(count(*)::DOUBLE)) * any_value(idf) AS w FROM qt JOIN df USING (term) GROUP BY 1),
+            qw AS (SELECT term, w / sqrt((SELECT sum(w * w) FROM qf)) AS w FROM qf), sim AS (SELECT doc_id, sum(qw.w * x.w) AS similarity FROM qw JOIN x USING (term) GROUP BY 1),
+            al AS (SELECT k.doc_id, coalesce(similarity, 0) AS similarity, product FROM k JOIN n ON n.complaint_id = k.doc_id LEFT JOIN sim ON sim.doc_id = k.doc_id)
+            SELECT CAST(row_number() OVER (ORDER BY similarity DESC, doc_id) AS INTEGER) AS rank, round(similarity, 6) AS similarity, doc_id, product FROM al ORDER BY al.similarity DESC, doc_id LIMIT 5""",
+        "text_index_size": f"WITH {_N}, k AS (SELECT min(complaint_id) AS doc_id FROM n GROUP BY t), {_INDEX} SELECT (SELECT count(*) FROM k) AS documents, (SELECT count(*) FROM df) AS terms, (SELECT count(*) FROM x) AS non_zeros",
+        "tfidf_gram_weights": f"""WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(coalesce(text, '')), '{_TOKEN}'), lambda x: NOT list_contains({STOP}, x)) AS w FROM documents),
+            g AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM w), tf AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY 1, 2),
+            df AS (SELECT term, count(*) AS df, sum(tf) AS total, ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + count(*))) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) >= 3 AND count(*) <= 0.9::DOUBLE * (SELECT count(*) FROM documents) ORDER BY total DESC, term LIMIT 400),
+            x AS (SELECT doc_id, term, (1 + ln(tf::DOUBLE)) * idf AS w FROM tf JOIN df USING (term)) SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM x""",
+        "csv_source_rows": f"WITH {_SRC} SELECT complaint_id, day, p AS product, issue, sha256(t) AS narrative_hash FROM q",
+        "csv_assignments": f"WITH {_A} SELECT date_received, topic_id, count(*) AS rows FROM a GROUP BY 1, 2",
+        "csv_weekly_table": f"WITH {_S}, {_DESC} SELECT s.topic_id, week_start, topic_count, total_complaints, history_weeks, candidate_signal, alert, severity, {_r('topic_share robust_z_score')}, array_to_string(tt.terms[1:2], ', ') AS topic_terms FROM s LEFT JOIN tt USING (topic_id)",
+        "prepared_table": f"WITH {_SRC} SELECT complaint_id, strftime(day, '%Y-%m-%d') AS date_received, product, issue, sha256(t) AS narrative_hash FROM q WHERE t <> ''",
+        "published_views": f"""WITH {_S}, {_DESC}, lang AS (SELECT lang FROM documents UNION SELECT ['de', 'en', 'es', 'fr'][CAST(doc_id % 4 + 1 AS INTEGER)] FROM documents WHERE doc_id % 5 = 0)
+            SELECT 'vw_complaint_detail' AS view_name, (SELECT count(*) FROM a) AS rows UNION ALL SELECT 'vw_topic_catalog', (SELECT count(*) FROM dim) UNION ALL SELECT 'vw_weekly_topic_dashboard', (SELECT count(*) FROM s JOIN dim USING (topic_id))
+            UNION ALL SELECT 'vw_alert_dashboard', (SELECT count(*) FROM s JOIN dim USING (topic_id) WHERE alert) UNION ALL SELECT 'vw_product_topic_summary', (SELECT count(*) FROM (SELECT DISTINCT product, topic_id FROM a))
+            UNION ALL SELECT 'vw_weekly_overview', (SELECT count(DISTINCT week_start) FROM s) UNION ALL SELECT 'vw_model_summary', 1 UNION ALL SELECT 'vw_model_class_performance', (SELECT count(*) FROM lang)""",
+        "guard_outcomes": "SELECT unnest(['text column', 'missing column', 'missing date', 'blank split rows', 'shared texts']) AS guard, true AS refuses_bad, false AS refuses_good",
+        "split_padded_states": f"WITH {_SPLIT} SELECT complaint_id, product, length(t) AS characters, split, state FROM st",
+        "split_fit_rows": f"WITH {_SPLIT} SELECT product, count(*) AS rows, count(DISTINCT narrative_hash) AS texts FROM st WHERE state = 'kept' AND split IN ('train', 'validation') GROUP BY 1",
+        "model_summary_view": f"""SELECT 'tfidf_logistic_regression' AS model_name, a.*, b.accuracy AS majority_accuracy, b.macro_f1 AS majority_macro_f1, c.expected_calibration_error, c.multiclass_log_loss, c.multiclass_brier_score, 'held-out test window' AS evaluation_scope
+            FROM ({_metric_sql(_P)}) a, ({_metric_sql(majority)}) b, ({calibration}) c""",
         "topic_tokens": r"SELECT doc_id AS complaint_id, CAST(len(list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{Nd}\p{Pc}]+'), lambda w: regexp_full_match(w, '[a-z]{2,}'))) AS BIGINT) AS n_tokens FROM documents",
         "cluster_sizes": f"WITH {_A}, r AS (SELECT CAST(i AS INTEGER) AS topic_id FROM range(7) t(i)) SELECT r.topic_id, count(a.complaint_id) AS rows FROM r LEFT JOIN a USING (topic_id) GROUP BY 1",
         "cluster_description": f"WITH {_A}, {_DESC}, r AS (SELECT CAST(i AS INTEGER) AS topic_id FROM range(7) t(i)) SELECT r.topic_id, coalesce(historical_rows, 0) AS historical_rows, dominant_product, dominant_product_share, coalesce(product_count, 0) AS product_count FROM r LEFT JOIN dd USING (topic_id)",

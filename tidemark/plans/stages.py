@@ -12,6 +12,7 @@ import json
 from datetime import UTC, datetime
 from pathlib import Path
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,6 +65,11 @@ def _rows(df: DataFrame) -> list[dict]:
     return [r.asDict(True) for r in df.collect()]
 
 
+def _figures(spark: SparkSession, row: dict) -> DataFrame:
+    """One row of numbers, any of which may be missing."""
+    return spark.createDataFrame([tuple(None if v is None else float(v) for v in row.values())], ", ".join(f"{k} double" for k in row))
+
+
 def acquisition(spark: SparkSession, config: dict, overwrite: bool = False) -> dict:
     s, at, d = config["source"], config["local"], config["download"]
     _guard(overwrite, at["archive_path"], at["metadata_path"])
@@ -130,7 +136,8 @@ def splitting(spark: SparkSession, config: dict, overwrite: bool = False) -> dic
     splits.require_disjoint(stages)
     for name in windows:
         _write(splits.kept(stages, name), c[f"{name}_path"])
-    report = {"generated_at": _now(), "splits": _rows(splits.statistics(stages)), "labels": _rows(splits.label_distribution(stages, c["target_column"])), **_rows(splits.outside(good, source, windows, c["date_column"]))[0]}
+    outputs = {n: {"path": c[f"{n}_path"], "sha256": files.folder_digest(spark, c[f"{n}_path"])} for n in windows}
+    report = {"generated_at": _now(), "outputs": outputs, "splits": _rows(splits.statistics(stages)), "labels": _rows(splits.label_distribution(stages, c["target_column"])), **_rows(splits.outside(good, source, windows, c["date_column"]))[0]}
     stages.unpersist()
     write_json(report, c["split_report_path"], overwrite)
     return report
@@ -145,9 +152,8 @@ def baseline(spark: SparkSession, config: dict, overwrite: bool = False) -> dict
     _guard(overwrite, m["artifact_path"], m["metrics_path"])
     part = [files.load_split(_read(spark, c[f"{n}_path"]), c["text_column"], c["target_column"]) for n in ("train", "validation", "test")]
     got = models.train(*part, text_col=c["text_column"], label_col=c["target_column"], candidates=[x["c"] for x in m["candidates"]], max_iterations=m["max_iterations"], **_fit_limits(m))
-    models.save(got["model"], m["artifact_path"], overwrite)
+    models.save_text_model(spark, got["features"], got["model"], m["artifact_path"], overwrite)
     predictions = got["predictions"].cache()
-    predictions.write.mode("overwrite").parquet(m["artifact_path"] + "-predictions")
     matrix = metrics.confusion(predictions)
     both = part[0].unionByName(part[1], allowMissingColumns=True).select(F.col(c["target_column"]).alias("truth"))
     report = {
@@ -166,12 +172,17 @@ def baseline(spark: SparkSession, config: dict, overwrite: bool = False) -> dict
 
 
 def evaluation(spark: SparkSession, config: dict, overwrite: bool = False) -> dict:
-    m = config["model"]
+    """Runs the saved model over the test split; nothing is fitted."""
+    c, m = config["data"], config["model"]
     _guard(overwrite, m["evaluation_report_path"])
-    classes = models.classes_of(models.load(m["artifact_path"]))
-    rows = spark.read.parquet(m["artifact_path"] + "-predictions")
+    features, model = models.load_text_model(spark, m["artifact_path"])
+    classes = models.classes_of(model)
+    test = files.load_split(_read(spark, c["test_path"]), c["text_column"], c["target_column"])
+    rows = models.predict(model, features.transform(test, c["text_column"]), c["target_column"]).cache()
     matrix = metrics.confusion(rows)
-    report = {"generated_at": _now(), "calibration": _rows(metrics.calibration_summary(rows, classes))[0], "bins": _rows(metrics.calibration_bins(rows, classes).orderBy("bin")), "top_confusions": _rows(metrics.top_confusions(matrix))}
+    frozen = {"model_sha256": files.folder_digest(spark, m["artifact_path"]), "test_sha256": files.folder_digest(spark, c["test_path"]), "test_rows": rows.count(), "test_metrics": _rows(metrics.summary(matrix))[0]}
+    report = {"generated_at": _now(), **frozen, "calibration": _rows(metrics.calibration_summary(rows, classes))[0], "bins": _rows(metrics.calibration_bins(rows, classes).orderBy("bin")), "top_confusions": _rows(metrics.top_confusions(matrix))}
+    rows.unpersist()
     write_json(report, m["evaluation_report_path"], overwrite)
     return report
 
@@ -210,7 +221,7 @@ def clustering(spark: SparkSession, config: dict, overwrite: bool = False) -> di
     f = models.fit_features(docs, c["text_column"], min_df=k["min_document_frequency"], max_df=k["max_document_frequency"], max_features=k["max_features"], ngram_max=k["ngram_max"], pattern=TOPIC_TOKEN, stop=stop)
     rows = f.transform(docs, c["text_column"])
     model, tried = topics.fit_candidates(rows, k["candidate_clusters"], max_iterations=k["max_iterations"], n_init=k["n_init"], sample_size=k["evaluation_sample_size"], minimum_fraction=k["minimum_cluster_fraction"], seed=config.get("project", {}).get("random_seed", 42))
-    models.save(model, k["model_path"], overwrite)
+    models.save_text_model(spark, f, PipelineModel(stages=[model]), k["model_path"], overwrite)
     n = model.getK()
     described = topics.describe(model.transform(rows), n, "product").join(topics.top_terms(model, f.vocabulary, spark, k["top_terms_per_cluster"]), "topic_id")
     source = _read(spark, c["prepared_path"])
@@ -233,7 +244,7 @@ def risk_detection(spark: SparkSession, config: dict, overwrite: bool = False) -
     assigned = _read(spark, c["assignments_path"]).select(parsed_date(F.col("date_received").cast("string")).alias("date_received"), F.col("topic_id").cast("int").alias("topic_id"))
     scores = weekly.scored(weekly.grid(assigned, day(r["analysis_start"]), day(r["analysis_end"])), rules)
     _write(weekly.with_terms(scores, _topics(spark, c["clustering_report_path"])), c["weekly_metrics_path"])
-    scores = _typed(spark, c["weekly_metrics_path"])
+    scores = typed_weekly(spark, c["weekly_metrics_path"])
     _write(weekly.alerts(scores), c["alerts_path"])
     report = {"generated_at": _now(), "coverage": _rows(weekly.coverage(scores))[0], "top_alerts": _rows(weekly.top_alerts(scores))}
     write_json(report, c["report_path"], overwrite)
@@ -243,7 +254,7 @@ def risk_detection(spark: SparkSession, config: dict, overwrite: bool = False) -
 WEEKLY = "topic_id int, week_start date, topic_count long, total_complaints long, topic_share double, history_weeks long, baseline_share_median double, baseline_share_scale double, baseline_count_mean double, share_increase double, robust_z_score double, candidate_signal boolean, persistent_signal_count long, alert boolean, severity string, topic_terms string"
 
 
-def _typed(spark: SparkSession, path: str) -> DataFrame:
+def typed_weekly(spark: SparkSession, path: str) -> DataFrame:
     """The weekly table with its contract's types, whatever it was stored as."""
     df = _read(spark, path)
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in (x.strip().split(" ") for x in WEEKLY.split(","))])
@@ -254,10 +265,10 @@ def analytics(spark: SparkSession, config: dict, overwrite: bool = False) -> dic
     _guard(overwrite, a["export_directory"], a["report_path"])
     base, judged = files.read_json(c["baseline_metrics_path"]), files.read_json(c["evaluation_report_path"])
     facts = _read(spark, c["topic_assignments_path"]).withColumns({"date_received": parsed_date(F.col("date_received").cast("string")), "topic_id": F.col("topic_id").cast("int")})
-    summary = {"model_name": "tfidf_logistic_regression", **base["test_metrics"], "majority_accuracy": base["test_majority_baseline"]["accuracy"], "majority_macro_f1": base["test_majority_baseline"]["macro_f1"], **{k: judged["calibration"][k] for k in ("expected_calibration_error", "multiclass_log_loss", "multiclass_brier_score")}, "evaluation_scope": "held-out test window"}
+    summary = wh.model_summary(*(_figures(spark, x) for x in (base["test_metrics"], base["test_majority_baseline"], judged["calibration"])))
     classes = spark.createDataFrame([(x["label"], x["precision"], x["recall"], x["f1"], x["support"]) for x in base["per_class"]], "product string, precision double, recall double, f1_score double, support long")
-    scores, alerts = _typed(spark, c["weekly_metrics_path"]), _typed(spark, c["alerts_path"])
-    tables = {"fact_complaint_topic": facts, "fact_weekly_topic_metric": scores, "fact_risk_alert": alerts, "dim_topic": wh.topic_dimension(_topics(spark, c["clustering_report_path"])), "fact_model_summary": spark.createDataFrame([summary]), "fact_model_class_metric": wh.class_metrics(classes)}
+    scores, alerts = typed_weekly(spark, c["weekly_metrics_path"]), typed_weekly(spark, c["alerts_path"])
+    tables = {"fact_complaint_topic": facts, "fact_weekly_topic_metric": scores, "fact_risk_alert": alerts, "dim_topic": wh.topic_dimension(_topics(spark, c["clustering_report_path"])), "fact_model_summary": summary, "fact_model_class_metric": wh.class_metrics(classes)}
     if a.get("database"):
         save_tables(tables, a["database"])
     wh.publish(spark, tables)
@@ -286,4 +297,4 @@ def shown(report) -> str:
     return json.dumps(report, indent=2, default=str)
 
 
-__all__ = ["STAGES", "prepared", "shown"]
+__all__ = ["STAGES", "prepared", "shown", "typed_weekly"]

@@ -29,6 +29,14 @@ def class_metrics(report: DataFrame) -> DataFrame:
     return report.filter(~F.col("product").isin(*SUMMARY_KEYS)).select("product", "precision", "recall", "f1_score", F.col("support").cast("long").alias("support"))
 
 
+def model_summary(test: DataFrame, majority: DataFrame, calibration: DataFrame, name: str = "tfidf_logistic_regression", scope: str = "held-out test window") -> DataFrame:
+    """model_name, the four test metrics, two of the majority reference, three of calibration, evaluation_scope; of one row each."""
+    left = test.select(F.lit(name).alias("model_name"), "accuracy", "balanced_accuracy", "macro_f1", "weighted_f1")
+    middle = majority.select(F.col("accuracy").alias("majority_accuracy"), F.col("macro_f1").alias("majority_macro_f1"))
+    right = calibration.select("expected_calibration_error", "multiclass_log_loss", "multiclass_brier_score", F.lit(scope).alias("evaluation_scope"))
+    return left.crossJoin(F.broadcast(middle)).crossJoin(F.broadcast(right))
+
+
 def complaint_detail(facts: DataFrame) -> DataFrame:
     names = [c for c in DETAIL if c in facts.columns]
     return facts.select(*names[:2], monday(F.col("date_received")).alias("week_start"), *names[2:])

@@ -83,6 +83,13 @@ def load_config(path: str) -> dict:
     return said
 
 
+def folder_digest(spark: SparkSession, path: str) -> str:
+    """SHA-256 over the sorted SHA-256 digests of the data files under a path, whatever their names."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    held = rows.select(F.sha2("content", 256).alias("sha256"), F.element_at(F.split("path", "/"), -1).alias("name")).filter("not startswith(name, '_') and not startswith(name, '.')")
+    return held.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ","), 256)).first()[0]
+
+
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """path, bytes, sha256 of files, read in parallel."""
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
