@@ -36,14 +36,16 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import scratch
+from tidemark.llm.common import groups_of, mixed, scratch
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
@@ -75,34 +77,39 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.n
     """
     n = len(ids)
     x, left_over = ids.astype(np.uint32), np.ones(n, bool)
-    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)  # n and -1 stand beyond the ends
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)  # n and -1 stand beyond the ends
     bound = np.full(-(-(n + 1) // 8) * 8, _NONE, np.uint16)
     bound[: max(0, n - 1)] = _UNKNOWN
-    rank = np.full(n + 1, n, np.int64)
+    rank = np.full(n + 1, n, np.int32)
     place_bits = np.uint64(n.bit_length())
     rules: list[np.ndarray] = []
     made, level = 0, 0
+    p = np.arange(max(0, n - 1))
     while True:
-        p = _places(bound >= min(max(level, least), _UNKNOWN))
         left, right = x[p], x[after[p]]
-        twins = p[left == right]
+        twin = np.flatnonzero(left == right)
+        twins = p[twin]
         if len(twins):  # of a run of one symbol, every second place
             at = np.arange(len(twins))
             head = np.append(True, twins[1:] != after[twins[:-1]])
-            odd = twins[(at - np.maximum.accumulate(np.where(head, at, 0))) % 2 == 1]
-            stay = ~np.isin(p, odd, assume_unique=True)
-            p, left, right = p[stay], left[stay], right[stay]
+            odd = (at - np.maximum.accumulate(np.where(head, at, 0))) % 2 == 1
+            if odd.any():
+                stay = np.ones(len(p), bool)
+                stay[twin[odd]] = False
+                p, left, right = p[stay], left[stay], right[stay]
         bits = np.uint64((first + made).bit_length())
         code = (left.astype(np.uint64) << bits) | right
         if 2 * int(bits) + int(place_bits) <= 64:
-            code = np.sort((code << place_bits) | p.astype(np.uint64))
+            code <<= place_bits
+            code |= p.view(np.uint64)
+            code.sort()
             p, code = (code & np.uint64((1 << int(place_bits)) - 1)).view(np.int64), code >> place_bits
         else:
             order = np.argsort(code, kind="stable")
             p, code = p[order], code[order]
         cut = np.append(np.flatnonzero(np.append(True, code[1:] != code[:-1])), len(code)) if len(code) else np.zeros(1, np.int64)
         count = np.diff(cut)
-        bound[p] = np.repeat(np.minimum(count, _UNKNOWN - 1), count)
+        bound[p] = np.repeat(np.minimum(count, _UNKNOWN - 1).astype(np.uint16), count)
         bound[twins] = _UNKNOWN  # which places of a run count changes with its ends
         level = level or max(least, (int(count.max(initial=0)) + 1) // 2)
         hot = np.flatnonzero(count >= level)
@@ -110,20 +117,23 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.n
             if level <= least:
                 break
             level = max(least, level // 2)
+            p = _places(bound >= min(level, _UNKNOWN))
             continue
         hot = hot[np.argsort(-count[hot], kind="stable")]
         size, begin = count[hot], cut[hot]
         spots = p[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-        rank[spots] = np.repeat(np.arange(len(hot)), size)
+        own = np.repeat(np.arange(len(hot), dtype=np.int32), size)
+        rank[spots] = own
         taken, ranks = [], []
+        a, b = before[spots].astype(np.int64), after[spots].astype(np.int64)
         while len(spots):  # a place goes to the more frequent of the pairs that overlap there
-            own, a, b = rank[spots], before[spots], after[spots]
             wins = (own < rank[a]) & (own < rank[b])
             taken.append(spots[wins])
             ranks.append(own[wins])
-            for x_ in (taken[-1], a[wins], b[wins]):
-                rank[x_] = n
-            spots = spots[rank[spots] < n]
+            for places in (taken[-1], a[wins], b[wins]):
+                rank[places] = n
+            left_out = rank[spots] < n
+            spots, own, a, b = spots[left_out], own[left_out], a[left_out], b[left_out]
         spots, own = np.concatenate(taken), np.concatenate(ranks)
         used = np.bincount(own, minlength=len(hot)) >= least  # the most frequent one always is
         number = np.cumsum(used) - 1 + first + made
@@ -133,7 +143,7 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.n
         rules.append(np.stack([pairs >> bits, pairs & np.uint64((1 << int(bits)) - 1)], 1).astype(np.uint32))
         made += len(pairs)
         x[spots] = number[own]
-        gone = after[spots]
+        gone = after[spots].astype(np.int64)
         beyond = after[gone]
         left_over[gone] = False
         bound[gone] = _NONE
@@ -142,7 +152,12 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.n
         before[beyond[inside]] = spots[inside]
         bound[spots] = np.where(inside, _UNKNOWN, _NONE)
         a = before[spots]
-        bound[a[a >= 0]] = _UNKNOWN
+        a = a[a >= 0]
+        bound[a] = _UNKNOWN
+        # places of this level: those there were, and those whose pair is new
+        p = np.concatenate([p, twins, spots, a])
+        p = np.sort(p[bound[p] >= min(level, _UNKNOWN)])
+        p = p[np.append(True, p[1:] != p[:-1])] if len(p) else p
     return x[left_over], (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32))
 
 
@@ -276,6 +291,117 @@ class Shard:
 #: Texts of ASCII and of Latin-1 letters, and the tokenizer's own split of such a text in lower case.
 _PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*\Z")
 _PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+").findall
+#: What a byte of a plain text is: 0 white space, 1 letter, 2 digit, 3 other.
+_KIND = np.array([0 if c in (10, 32) else 2 if 48 <= c < 58 else 1 if 97 <= c < 123 or c > 127 else 3 for c in range(256)], np.uint8)
+
+
+def plain_pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of a plain text in lower case (bytes)."""
+    kind = np.zeros(len(data) + 2, np.uint8)
+    np.take(_KIND, data, out=kind[1:-1])
+    new = kind[1:] != kind[:-1]
+    new[1:] |= (kind[1:-1] == 2) & (kind[2:] == 2)  # every digit is a piece
+    edges = np.flatnonzero(new)
+    held = kind[edges + 1] > 0
+    starts, ends = edges[held], edges[np.flatnonzero(held) + 1] if len(edges) else edges
+    # a single apostrophe takes the ending of a contraction from the letters after it
+    mark = np.flatnonzero((data[starts] == 39) & (ends - starts == 1)) if len(starts) else starts
+    mark = mark[mark + 1 < len(starts)]
+    mark = mark[(starts[mark + 1] == ends[mark]) & (kind[starts[mark + 1] + 1] == 1)]
+    if len(mark):
+        one = data[starts[mark + 1]]
+        two = np.where(ends[mark + 1] - starts[mark + 1] > 1, data[np.minimum(starts[mark + 1] + 1, len(data) - 1)], 0)
+        size = np.where(np.isin(one, list(b"stmd")), 1, 0)
+        size[((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108)] = 2  # re, ve, ll
+        ends[mark] += size
+        starts[mark + 1] += size
+        stay = starts < ends
+        starts, ends = starts[stay], ends[stay]
+    return starts, ends
+
+
+class WordTable:
+    """Ids of words of up to 24 bytes, found for whole arrays of words at once.
+
+    A slot holds a word's bytes and where its ids stand; words are compared, not hashes.
+    A full table is emptied.
+    """
+
+    BITS, PROBES = 20, 32
+    _MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+    def __init__(self, make) -> None:
+        self.make = make
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots = np.zeros((1 << self.BITS, 4), np.uint64)
+        self.pool, self.used, self.words = np.zeros(1 << 16, np.uint32), 0, 0
+
+    def _find(self, keys: list[np.ndarray], slot: np.ndarray) -> np.ndarray:
+        """Where each word's ids stand (start << 8 | count), 0 for unknown words."""
+        out = np.zeros(len(slot), np.uint64)
+        left = np.arange(len(slot))
+        for step in range(self.PROBES):
+            row = self.slots[(slot[left] + step) & (len(self.slots) - 1)]
+            same = (row[:, 0] == keys[0][left]) & (row[:, 1] == keys[1][left]) & (row[:, 2] == keys[2][left])
+            out[left[same]] = row[same, 3]
+            left = left[~same & (row[:, 0] != 0)]
+            if not len(left):
+                break
+        return out
+
+    def _add(self, words: list[bytes], keys: list[np.ndarray], slot: np.ndarray) -> None:
+        """Adds words that are not there; those that find no slot stay unknown."""
+        ids, count = self.make(words)
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.append(self.pool, np.zeros(len(self.pool), np.uint32))
+        self.pool[self.used : self.used + len(ids)] = ids
+        begin = self.used + np.cumsum(count) - count
+        rows = np.stack([*keys, (begin << 8 | count).astype(np.uint64)], 1)
+        left = np.flatnonzero((count > 0) & (count < 256))
+        for step in range(self.PROBES):
+            at = (slot[left] + step) & (len(self.slots) - 1)
+            free = self.slots[at, 0] == 0
+            _, first = np.unique(at[free], return_index=True)  # of words that want one slot, one gets it
+            got = np.flatnonzero(free)[first]
+            self.slots[at[got]] = rows[left[got]]
+            left = np.delete(left, got)
+            if not len(left):
+                break
+        self.used += len(ids)
+        self.words += len(words)
+
+    def ids(self, text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and how many each has; text ends in 24 zero bytes."""
+        if self.words > len(self.slots) // 2:
+            self.clear()
+        sizes = ends - starts
+        eights = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,))
+        keys = [eights[starts + 8 * i] & self._MASK[np.clip(sizes - 8 * i, 0, 8)] for i in range(3)]
+        with np.errstate(over="ignore"):
+            slot = (mixed(keys[0] ^ mixed(keys[1] ^ mixed(keys[2]))) >> np.uint64(64 - self.BITS)).astype(np.int64)
+        found = self._find(keys, slot)
+        short = sizes <= 24
+        found[~short] = 0
+        fresh = np.flatnonzero((found == 0) & short)
+        if len(fresh):
+            new = {text[a:b]: i for i, a, b in zip(fresh.tolist(), starts[fresh].tolist(), ends[fresh].tolist())}
+            at = np.fromiter(new.values(), np.int64, len(new))
+            self._add(list(new), [k[at] for k in keys], slot[at])
+            found[fresh] = self._find([k[fresh] for k in keys], slot[fresh])
+        count = (found & np.uint64(255)).astype(np.int64)
+        begin = (found >> np.uint64(8)).astype(np.int64)
+        rest = np.flatnonzero(found == 0)  # too long for the table, or without room in it
+        if len(rest):
+            own, count[rest] = self.make([text[a:b] for a, b in zip(starts[rest].tolist(), ends[rest].tolist())])
+            begin[rest] = self.used + np.cumsum(count[rest]) - count[rest]
+            pool = np.append(self.pool[: self.used], own)
+        else:
+            pool = self.pool
+        ends_ = np.cumsum(count)
+        total = int(ends_[-1]) if len(count) else 0
+        return pool[np.repeat(begin - (ends_ - count), count) + np.arange(total)], count
 
 
 class Encoder:
@@ -287,6 +413,8 @@ class Encoder:
     model, chunks between spaces of other texts to the whole library.
     """
 
+    BLOCK_BYTES = 1 << 20
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -300,31 +428,71 @@ class Encoder:
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self.special = [x["content"] for x in said["added_tokens"]]
-        self.words, self.chunks = _Memo(self._word), _Memo(self._whole)
+        self.chunks, self.table = _Memo(self._whole), WordTable(self._words)
 
-    def _word(self, word: str) -> bytes:
-        mapped = word if word.isascii() else word.translate(self.letters)
-        ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after another, and how many each has."""
+        tokenize = self.tokenizer.model.tokenize
+        texts = [w.decode() for w in words]
+        own = [[t.id for t in tokenize(x if x.isascii() else x.translate(self.letters))] for x in texts]
+        return np.fromiter(chain.from_iterable(own), np.uint32), np.fromiter(map(len, own), np.int64, len(own))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if text else b""
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if not text:
-            return b""
-        if not self.by_chunk:
-            return self._whole(text)
-        plain = _PLAIN.match(text) and not any(x in text for x in self.special)
-        get, out, at = (self.words if plain else self.chunks).__getitem__, [], 0
-        while at < len(text):  # long texts in pieces that end at a space
-            end = len(text) if len(text) - at <= 1 << 20 else text.find(" ", at + (1 << 20))
-            end = len(text) if end < 0 else end
-            piece = text[at:end]
-            out.append(b"".join(map(get, _PIECES(piece.lower()) if plain else piece.replace("\n", " ").split(" "))))
-            at = end
-        return b"".join(out)
+        return self.all_ids([text])[0]
+
+    def all_ids(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text."""
+        out: list[bytes] = [b""] * len(texts)
+        block: list[bytes] = []
+        owners: list[int] = []
+        size = 0
+
+        def settle() -> None:
+            nonlocal block, owners, size
+            for i, x in zip(owners, self._plain(block)):
+                out[i] += x
+            block, owners, size = [], [], 0
+
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if not self.by_chunk:
+                out[i] = self._whole(text)
+                continue
+            plain = _PLAIN.match(text) and not any(x in text for x in self.special)
+            at = 0
+            while at < len(text):  # long texts in pieces that end at a space
+                end = len(text) if len(text) - at <= self.BLOCK_BYTES else text.find(" ", at + self.BLOCK_BYTES)
+                end = len(text) if end < 0 else end
+                piece = text[at:end]
+                if plain:
+                    block.append(piece.encode())
+                    owners.append(i)
+                    size += len(piece)
+                    if size >= self.BLOCK_BYTES:
+                        settle()
+                else:
+                    out[i] += b"".join(map(self.chunks.__getitem__, piece.replace("\n", " ").split(" ")))
+                at = end
+        settle()
+        return out
+
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of plain texts, all in one array."""
+        data = np.frombuffer(bytearray(b"\n".join(texts).lower() + bytes(24)), np.uint8)
+        lead = np.flatnonzero(data == 0xC3)  # capitals of Latin-1
+        second = data[lead + 1]
+        data[lead[(second < 0x9F) & (second != 0x97)] + 1] += 0x20
+        starts, ends = plain_pieces(data[:-24])
+        ids, count = self.table.ids(data.tobytes(), starts, ends)
+        limits = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in texts]))
+        cuts = np.append(0, np.append(0, np.cumsum(count))[limits]).tolist()
+        view = memoryview(ids.astype("<u4").tobytes())
+        return [bytes(view[4 * a : 4 * b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 class _Memo(dict):
@@ -372,9 +540,13 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, shard_tokens:
                 ["part", "seq", "base", "n_tokens", "doc_ids", "doc_tokens", "blob"],
             )
 
+        def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+            for a, b in groups_of(pc.binary_length(batch.column(1)).fill_null(0).to_pylist(), code.BLOCK_BYTES):
+                part = batch.slice(a, b - a)
+                yield from zip(part.column(0).to_pylist(), code.all_ids(part.column(1).to_pylist()))
+
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = code.ids(text.as_py())
+            for doc_id, data in encoded(batch):
                 n = len(data) // 4 + 1
                 if total and total + n > shard_tokens:
                     yield out()
