@@ -184,6 +184,24 @@ def test_mix_against_targets_by_bisection(spark):
         assert taken[s] == pytest.approx(due[s], rel=0.01, abs=200_000 if s == "big" else 5)
 
 
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_mix_of_many_sources(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randrange(1, 9), None if i % 701 == 0 else f"s{rng.randrange(700)}") for i in range(6000)]
+    got = mixing.rates(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    size = {}
+    for _, t, s in rows:
+        size[s] = size.get(s, 0) + len(t.split())
+    names = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None]
+    due = dict(zip(names, fair_targets([size[s] for s in names])))
+    taken = {}
+    for r in got:
+        assert r.target == pytest.approx(due[r.source], rel=1e-9) and r.rate * r.source_size == pytest.approx(r.target, rel=1e-6)
+        taken[r.source] = taken.get(r.source, 0) + r.copies * r.size
+    assert all(abs(taken[s] - due[s]) <= 8 for s in names)
+
+
 def test_differencing_decides_doubtful_blocks(spark):
     page = '<article><p>{}</p><p class="notice-text">{}</p><div class="share-price">{}</div><p id="comments-on-law">{}</p><div class="ad">x</div></article>'
     rows = [(1, "http://a/1", page.format("one", "n1", "Share this", "law one")), (2, "http://a/2", page.format("two", "n2", "Share this", "law two")), (3, "http://b/1", page.format("one", "n", "Share this", "law"))]

@@ -4,9 +4,13 @@ The mix is the set of document rates r that is closest, in relative entropy
 weighted by document size, to taking each document once, under one token
 constraint for each source: sum(r * size) = target.  Its dual is convex, with
 one multiplier for each source, and its solution tilts a document exponentially:
-r = exp(lambda[source]).  Newton's method solves the dual; an iteration is one
-aggregation of the narrow table (source, size) over the cluster, and only a row
-for each source reaches the driver.
+r = exp(lambda[source]).  The dual's gradient and its diagonal Hessian are sums
+over all documents, sum(size * exp(lambda)) for each source; as lambda is one
+number for a source, they need the documents only through its sum of sizes, one
+aggregation over the cluster.  Newton's method then runs on all sources at once,
+where their rows are; neither sources nor multipliers reach the driver.  The
+level of the targets does: two sums over the sources for each source set that
+meets its cap.
 
 Rates become whole copies by error diffusion: inside a bucket of at most about
 BUCKET_ROWS documents of one source, from the largest document to the smallest,
@@ -36,8 +40,10 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3
 BUCKET_ROWS = 2000
 WORD = f"[^{character_class([0x20, *range(0x09, 0x0E)])}]+"
-#: One row for each source reaches the driver; more sources than this are refused.
-MOST_SOURCES = 1_000_000
+#: Rows of the table of sources that are broadcast.
+BROADCAST_SOURCES = 200_000
+#: Newton's method ends at this share of the target, after so many steps at most, each of at most so much.
+TOLERANCE, MOST_STEPS, LONGEST_STEP = 1e-12, 60, 2.0
 
 
 def word_count(text: Column) -> Column:
@@ -45,40 +51,79 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _level(measure, total: float) -> float:
+    """The level at which targets of level * weight, none above its cap, come to total.
+
+    measure(level) gives how many sources a level fills, what those hold at their
+    cap, and the weight of the others.
+    """
+    _, _, weight = measure(0.0)
+    level, before = (total / weight if weight else 0.0), 0
+    while True:
+        full, held, weight = measure(level)
+        if full == before or not weight:
+            return level
+        level, before = (total - held) / weight, full
+
+
 def targets_of(sizes: list[float], weights: list[float], cap: float = MOST_COPIES, share: float = 1.0) -> list[float]:
     """Targets in proportion to the weights; none above cap times its size, the excess shared again."""
-    total = share * sum(sizes)
-    targets = [0.0] * len(sizes)
-    free = [i for i, s in enumerate(sizes) if s > 0]
-    while free and total > 0:
-        level = total / sum(weights[i] for i in free)
-        full = [i for i in free if level * weights[i] > cap * sizes[i]]
-        for i in full or free:
-            targets[i] = cap * sizes[i] if full else level * weights[i]
-        if not full:
-            break
-        total -= sum(targets[i] for i in full)
-        free = [i for i in free if i not in set(full)]
-    return targets
-
-
-def newton(sizes: DataFrame, targets: dict, tolerance: float = 1e-12, most: int = 60) -> dict:
-    """Multiplier of each source; sizes holds (source, size), targets the tokens due.
-
-    The dual is sum(size * exp(lambda)) - sum(lambda * target); its gradient and
-    its diagonal Hessian are sums over all documents, taken anew at each step.
-    """
-    spark = sizes.sparkSession
-    lam = {s: 0.0 for s, t in targets.items() if t > 0}
-    for _ in range(most if lam else 0):
-        now = spark.createDataFrame(list(lam.items()), "of string, lambda double")
-        moved = sizes.join(F.broadcast(now), F.col("source").eqNullSafe(F.col("of")))
-        mass = {r.of: r.mass for r in moved.groupBy("of").agg(F.sum(F.col("size") * F.exp("lambda")).alias("mass")).collect()}
-        gap = {s: targets[s] - mass[s] for s in lam}
-        if all(abs(g) <= tolerance * targets[s] for s, g in gap.items()):
-            break
-        lam = {s: v + max(-2.0, min(2.0, gap[s] / mass[s])) for s, v in lam.items()}
-    return lam
+
+    def measure(level: float) -> tuple[int, float, float]:
+        full = [i for i, s in enumerate(sizes) if s > 0 and level * weights[i] > cap * s]
+        return len(full), sum(cap * sizes[i] for i in full), sum(w for i, w in enumerate(weights) if sizes[i] > 0) - sum(weights[i] for i in full)
+
+    level = _level(measure, share * sum(sizes))
+    return [min(level * w, cap * s) if s > 0 else 0.0 for s, w in zip(sizes, weights)]
+
+
+def _numbered(sources: DataFrame) -> DataFrame:
+    """sources with number, its place by code point, null last; written."""
+    order = [F.col("source").isNull(), F.col("source")]
+    rows = sources.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id())
+    rows = written(rows, "mix-sources")
+    part, inside = F.shiftrightunsigned("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = sorted((r.part, r.n) for r in rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())  # a row for each partition
+    starts, at = [], 0
+    for number, n in sizes:
+        starts += [F.lit(number), F.lit(at)]
+        at += n
+    if not starts:
+        return rows.withColumn("number", F.col("id")).drop("id")
+    return rows.withColumn("number", inside + F.element_at(F.create_map(*starts), part)).drop("id")
+
+
+def _multiplier(tokens: Column, target: Column) -> Column:
+    """Newton's method on the dual of one source: the lambda at which tokens * exp(lambda) is target."""
+
+    def step(now: Column, _: Column) -> Column:
+        mass = tokens * F.exp(now)
+        gap = target - mass
+        move = F.greatest(F.lit(-LONGEST_STEP), F.least(F.lit(LONGEST_STEP), gap / mass))
+        return F.when(F.abs(gap) <= TOLERANCE * target, now).otherwise(now + move)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(MOST_STEPS)), F.lit(0.0), step)
+
+
+def balanced(units: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MOST_COPIES, share: float = 1.0) -> DataFrame:
+    """source, tokens, n, target, rate of every source of units (source, size, rows)."""
+    per = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("tokens"), F.count("*").alias("n"))
+    per = _numbered(per)
+    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.pmod(F.col("number"), F.lit(len(weights))) + 1).cast("int"))
+    per = per.withColumn("weight", weight)
+    most = cap * F.col("tokens").cast("double")
+
+    def measure(level: float) -> tuple[int, float, float]:
+        full = F.lit(level) * F.col("weight") > most
+        row = per.filter("tokens > 0").agg(F.count_if(full), F.sum(F.when(full, most)), F.sum(F.when(~full, F.col("weight")))).first()
+        return row[0], row[1] or 0.0, row[2] or 0.0
+
+    total = per.agg(F.sum("tokens")).first()[0] or 0
+    level = _level(measure, share * total)
+    target = F.when(F.col("tokens") > 0, F.least(F.lit(float(level)) * F.col("weight"), most)).otherwise(F.lit(0.0))
+    rows = per.withColumn("target", target)
+    rate = F.when(F.col("target") > 0, F.least(F.lit(float(cap)), F.exp(_multiplier(F.col("tokens").cast("double"), F.col("target"))))).otherwise(F.lit(0.0))
+    return rows.select("source", "tokens", "n", "target", rate.alias("rate"))
 
 
 def _diffused(group: pd.DataFrame) -> pd.DataFrame:
@@ -105,20 +150,14 @@ def _diffused(group: pd.DataFrame) -> pd.DataFrame:
 
 def rates(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """doc_id, source, size, copies, rate, source_size, target: one row for each distinct (doc_id, source, size)."""
-    spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
     units = written(narrow.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "mix-sizes")
-    per = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("tokens"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(per) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    per.sort(key=lambda r: (r.source is None, (r.source or "").encode("utf-8", "surrogatepass")))
-    due = targets_of([float(r.tokens) for r in per], [weights[i % len(weights)] for i in range(len(per))])
-    lam = newton(units.select("source", (F.col("size") * F.col("rows")).alias("size")), {r.source: t for r, t in zip(per, due)})
-    known = spark.createDataFrame(
-        [(r.source, int(r.tokens), float(t), min(float(MOST_COPIES), math.exp(lam[r.source])) if r.source in lam else 0.0, max(1, -(-r.n // BUCKET_ROWS))) for r, t in zip(per, due)],
-        "of string, source_size long, target double, rate double, buckets long",
+    known = balanced(units, weights).select(
+        F.col("source").alias("of"), F.col("tokens").cast("long").alias("source_size"), "target", "rate", F.greatest(F.lit(1), F.ceil(F.col("n") / BUCKET_ROWS)).cast("long").alias("buckets")
     )
-    dealt = units.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    known = written(known, "mix-rates")
+    few = known.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    dealt = units.join(F.broadcast(known) if few else known, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.col("buckets"))).drop("buckets")
     return dealt.groupBy("source", "bucket").applyInPandas(lambda g: _diffused(g), "doc_id long, source string, size long, copies int, rate double, source_size long, target double")
 
