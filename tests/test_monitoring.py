@@ -12,48 +12,48 @@ def day(text):
 
 
 def history(spark, shares, topic=0):
-    start = day("2024-01-01")
+    start = day("2022-05-02")
     rows = [(topic, start + dt.timedelta(days=7 * i), int(1000 * s), 1000, float(s)) for i, s in enumerate(shares)]
     return spark.createDataFrame(rows, "topic_id int, week_start date, topic_count long, total_complaints long, topic_share double")
 
 
-RULES = weekly.ScoreRules(lookback_weeks=6, minimum_history_weeks=4, robust_z_threshold=3.5, minimum_weekly_count=50, minimum_share_increase=0.01, scale_floor=0.01)
+RULES = weekly.ScoreRules(lookback_weeks=6, minimum_history_weeks=4, robust_z_threshold=3.0, minimum_weekly_count=40, minimum_share_increase=0.02, scale_floor=0.015)
 
 
 def test_grid_is_complete_and_shares_sum_to_one(spark):
-    rows = [("2024-01-02", 0), ("2024-01-03", 1), ("2024-01-09", 0)]
+    rows = [("2022-05-03", 0), ("2022-05-04", 1), ("2022-05-10", 0)]
     df = spark.createDataFrame([(day(d), t) for d, t in rows], "date_received date, topic_id int")
-    got = {(r.topic_id, str(r.week_start)): r for r in weekly.grid(df, day("2024-01-01"), day("2024-01-14")).collect()}
+    got = {(r.topic_id, str(r.week_start)): r for r in weekly.grid(df, day("2022-05-02"), day("2022-05-15")).collect()}
     assert len(got) == 4
-    assert got[1, "2024-01-08"].topic_count == 0
-    assert got[0, "2024-01-01"].topic_share + got[1, "2024-01-01"].topic_share == 1.0
+    assert got[1, "2022-05-09"].topic_count == 0
+    assert got[0, "2022-05-02"].topic_share + got[1, "2022-05-02"].topic_share == 1.0
 
 
 def test_grid_starts_at_first_monday_and_refuses_missing_dates(spark):
-    df = spark.createDataFrame([(day("2024-01-03"), 0), (day("2024-01-09"), 0)], "date_received date, topic_id int")
-    got = weekly.grid(df, day("2024-01-03"), day("2024-01-14")).collect()
-    assert [(str(r.week_start), r.topic_count) for r in got] == [("2024-01-08", 1)]
+    df = spark.createDataFrame([(day("2022-05-04"), 0), (day("2022-05-10"), 0)], "date_received date, topic_id int")
+    got = weekly.grid(df, day("2022-05-04"), day("2022-05-15")).collect()
+    assert [(str(r.week_start), r.topic_count) for r in got] == [("2022-05-09", 1)]
     bad = spark.createDataFrame([(None, 0)], "date_received date, topic_id int")
     with pytest.raises(ValueError, match="valid date"):
-        weekly.grid(bad, day("2024-01-01"), day("2024-01-14"))
+        weekly.grid(bad, day("2022-05-02"), day("2022-05-15"))
 
 
 def test_persistent_spike_alerts_in_its_second_week(spark):
-    got = weekly.scored(history(spark, [0.1] * 8 + [0.3, 0.32]), RULES).orderBy("week_start").collect()
-    assert got[8].candidate_signal and not got[8].alert
-    assert got[9].alert and got[9].baseline_share_median == pytest.approx(0.1)
+    got = weekly.scored(history(spark, [0.2] * 7 + [0.45, 0.47]), RULES).orderBy("week_start").collect()
+    assert got[7].candidate_signal and not got[7].alert
+    assert got[8].alert and got[8].baseline_share_median == pytest.approx(0.2)
     assert got[3].robust_z_score is None and got[3].candidate_signal is False
 
 
 def test_single_spike_is_a_candidate_without_alert(spark):
-    got = weekly.scored(history(spark, [0.1] * 7 + [0.4]), RULES).agg(F.count_if("candidate_signal"), F.count_if("alert")).first()
+    got = weekly.scored(history(spark, [0.25] * 6 + [0.5]), RULES).agg(F.count_if("candidate_signal"), F.count_if("alert")).first()
     assert tuple(got) == (1, 0)
 
 
 def test_even_history_uses_the_mean_of_the_middle_values(spark):
-    got = weekly.scored(history(spark, [0.1, 0.2, 0.3, 0.4, 0.5]), weekly.ScoreRules(lookback_weeks=4, minimum_history_weeks=4, scale_floor=0.01)).orderBy("week_start").collect()[4]
+    got = weekly.scored(history(spark, [0.05, 0.15, 0.35, 0.45, 0.6]), weekly.ScoreRules(lookback_weeks=4, minimum_history_weeks=4, scale_floor=0.01)).orderBy("week_start").collect()[4]
     assert got.baseline_share_median == pytest.approx(0.25)
-    assert got.baseline_share_scale == pytest.approx(1.4826 * 0.1)
+    assert got.baseline_share_scale == pytest.approx(1.4826 * 0.15)
 
 
 @pytest.mark.parametrize("bad", [{"lookback_weeks": 3}, {"persistence_required_weeks": 4}, {"scale_floor": 0.0}])
@@ -69,13 +69,13 @@ def test_terms_are_limited_and_missing_topics_are_null(spark):
 
 
 def test_warehouse_publishes_and_validates(spark):
-    facts = spark.createDataFrame([(1, day("2024-01-02"), "a", "x", 0), (2, day("2024-01-03"), "b", "x", 1)], "complaint_id long, date_received date, product string, issue string, topic_id int")
-    scores = weekly.scored(weekly.grid(facts, day("2024-01-01"), day("2024-01-07")))
+    facts = spark.createDataFrame([(1, day("2022-05-03"), "a", "x", 0), (2, day("2022-05-04"), "b", "x", 1)], "complaint_id long, date_received date, product string, issue string, topic_id int")
+    scores = weekly.scored(weekly.grid(facts, day("2022-05-02"), day("2022-05-08")))
     alerts = weekly.alerts(scores)
     topics = spark.createDataFrame([(0, "t0", 1, "a", 1.0, 1), (1, "t1", 1, "b", 1.0, 1)], "topic_id int, top_terms string, historical_rows long, dominant_product string, dominant_product_share double, product_count long")
     names = wh.publish(spark, {"fact_complaint_topic": facts, "fact_weekly_topic_metric": scores, "fact_risk_alert": alerts, "dim_topic": topics})
     assert spark.table("vw_weekly_topic_dashboard").count() == 2 and "vw_weekly_overview" in names
-    window = day("2024-01-01"), day("2024-01-07")
+    window = day("2022-05-02"), day("2022-05-08")
     assert wh.validate(facts, scores, alerts, *window)["complaint_rows"] == 2
     with pytest.raises(ValueError, match="not unique"):
         wh.validate(facts.union(facts), scores, alerts, *window)
@@ -90,9 +90,9 @@ def test_text_columns_are_refused(spark):
 def test_streaming_weeks_begin_on_monday(spark, tmp_path):
     from tidemark.streaming.weekly import append_to, weekly_counts
 
-    rows = [(dt.datetime(2024, 1, 3), 0), (dt.datetime(2024, 1, 7, 23), 0), (dt.datetime(2024, 1, 8), 1), (dt.datetime(2024, 3, 1), 1)]
+    rows = [(dt.datetime(2022, 5, 4), 0), (dt.datetime(2022, 5, 8, 23), 0), (dt.datetime(2022, 5, 9), 1), (dt.datetime(2022, 6, 30), 1)]
     spark.createDataFrame(rows, "ts timestamp, topic int").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("ts timestamp, topic int").parquet(str(tmp_path / "in"))
     append_to(weekly_counts(stream, "ts", "topic"), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     got = {(r.topic_id, str(r.week_start)): r.topic_count for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got[0, "2024-01-01"] == 2 and got[1, "2024-01-08"] == 1
+    assert got[0, "2022-05-02"] == 2 and got[1, "2022-05-09"] == 1
