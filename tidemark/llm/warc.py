@@ -110,7 +110,7 @@ class Salvage:
             self.gaps.append((start, end, reason))
 
 
-def _inflate(data: memoryview, start: int) -> tuple[bytes, int, str | None]:
+def _inflate(data: memoryview, start: int, most: int) -> tuple[bytes, int, str | None]:
     """What the member at start holds, where it ends, and what is wrong with it: then the bytes before the fault."""
     unpack, out, at, size = zlib.decompressobj(31), [], start, 0
     while not unpack.eof:
@@ -131,7 +131,7 @@ def _inflate(data: memoryview, start: int) -> tuple[bytes, int, str | None]:
             return b"".join(out), at, f"bad member: {e}"
         at += len(step)
         size += len(out[-1])
-        if size > MOST_RECORD_BYTES:
+        if size > most:
             return b"".join(out), at, "member too large"
     return b"".join(out), at - len(unpack.unused_data), None
 
@@ -197,8 +197,8 @@ def _next_start(data: bytes, at: int) -> int:
     return line.start() if line else end
 
 
-def read_archive(data: bytes) -> Salvage:
-    """All records of an archive that can be read, whatever else it holds."""
+def read_archive(data: bytes, most: int = MOST_RECORD_BYTES) -> Salvage:
+    """All records of an archive that can be read, whatever else it holds; of a member that inflates to over most bytes, those up to there."""
     out, view = Salvage(), memoryview(data)
     at, bad, reason = 0, None, ""
     rescued: list[Record] = []  # of damaged members; bytes stored in one as they are come up once more
@@ -212,7 +212,7 @@ def read_archive(data: bytes) -> Salvage:
     while at < len(data):
         wrong, onward = "no member", at + 1
         if data[at : at + 3] == MAGIC:
-            inner, end, wrong = _inflate(view, at)
+            inner, end, wrong = _inflate(view, at, most)
             part = Salvage()
             _plain(inner, 0, part, lambda i, at=at, end=end: at if i == 0 else end)
             if wrong is None and (part.records or _VERSION_LINE.match(inner)):
@@ -287,7 +287,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, archive_bytes:
     return written(_with_origin(pages, least).mapInArrow(write, "path string, records long, bytes long"), "warc-manifest")
 
 
-def read_archives(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
+def read_archives(manifest: DataFrame, most: int = MOST_RECORD_BYTES) -> tuple[DataFrame, DataFrame]:
     """The records of the archives that manifest names, and the gaps that salvage left.
 
     Records: page_id, url, payload_bytes, payload_digest, record_type, refers_to.
@@ -299,7 +299,7 @@ def read_archives(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
             for path in batch.column(0).to_pylist():
                 fs, at = _filesystem(path)
                 with fs.open_input_stream(at, compression=None) as f:
-                    yield path, read_archive(f.read())
+                    yield path, read_archive(f.read(), most)
 
     def number(x: str | None) -> int | None:
         return None if x is None else int(x)
