@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import io
 import tempfile
-import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +19,8 @@ from tidemark.operators import guards, metrics, models, profile, retrieval, spli
 from tidemark.plans import adapters as ad
 from tidemark.plans import stages
 from tidemark.plans import warehouse as wh
-from tidemark.sinks.files import write_csv
-from tidemark.sources import files
+from tidemark.sinks.files import shared_folder, write_csv, write_json, write_single_csv
+from tidemark.sources import archives, files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,33 +154,23 @@ def _model_summary(s, d):
     return wh.model_summary(metrics.summary(metrics.confusion(p)), metrics.summary(majority), metrics.calibration_summary(p, ad.CLASSES))
 
 
-def _folder(s, name: str) -> str:
-    """A new folder that driver and executors share; a temporary one only where the session runs on one machine."""
-    found = s.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not s.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="tidemark-files-")
-    return f"{found.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
-
-
 def _csv_source(s, d):
     """The text-typed source, written as CSV and read back; absent fields are null, blank ones stay."""
-    path = _folder(s, "source-csv")
+    path = shared_folder(s, "source-csv")
     write_csv(ad.source(s, d), path)
     back = files.read_csv(s, path, ["complaint_id", "date_text", "product", "issue", "narrative"])
     return back.select("complaint_id", parsed_date(F.col("date_text")).alias("day"), stripped(F.col("product")).alias("product"), "issue", text_hash(F.col("narrative")).alias("narrative_hash"))
 
 
 def _csv_assignments(s, d):
-    path = _folder(s, "assignments-csv")
+    path = shared_folder(s, "assignments-csv")
     write_csv(ad.assignments(s, d), path)
     return files.read_assignments(s, path).groupBy("date_received", "topic_id").agg(F.count("*").alias("rows"))
 
 
 def _csv_weekly(s, d):
     """The weekly table through CSV and back to its types."""
-    path = _folder(s, "weekly") + ".csv"
+    path = shared_folder(s, "weekly") + ".csv"
     write_csv(weekly.with_terms(_scores(s, d), ad.topics(s, d), 2), path)
     return _rounded(stages.typed_weekly(s, path)).select("topic_id", "week_start", "topic_count", "total_complaints", "topic_share", "history_weeks", "robust_z_score", "candidate_signal", "alert", "severity", "topic_terms")
 
@@ -225,6 +218,82 @@ def _guarded(s, d):
     return s.createDataFrame(seen, "guard string, refuses_bad boolean, refuses_good boolean")
 
 
+def _archived(s, d):
+    """A ZIP of the nations' names: acquired, inspected, verified and extracted, with what is refused."""
+    names = "\n".join(r.n_name for r in s.read.parquet(f"{d}/nation.parquet").orderBy("n_nationkey").collect())
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("names.txt", names)
+    body = packed.getvalue()
+
+    class Response(io.BytesIO):
+        status = 200
+        headers = {"Content-Type": "application/zip", "Content-Length": str(len(body))}
+
+    def refused(act) -> bool:
+        try:
+            act()
+        except (ValueError, FileExistsError):
+            return True
+        return False
+
+    with tempfile.TemporaryDirectory() as folder:  # the driver's own: nothing here is read by executors
+        at = Path(folder)
+        archives.acquire("http://example.org/a.zip", at / "a.zip", at / "a.json", len(body), open_url=lambda *_, **__: Response(body))
+        said = archives.load_metadata(at / "a.json")
+        archives.verify_archive(at / "a.zip", said)
+        got = archives.extract_member(at / "a.zip", "names.txt", at / "names.txt")
+        write_json(got, str(at / "report.json"))
+        bad = [refused(lambda n=n: archives.check_member_name(n)) for n in ("../x", "/x", "a/../../x", "C:\\x")]
+        row = (
+            archives.inspect_zip(at / "a.zip")[0]["filename"],
+            files.read_json(str(at / "report.json"))["bytes"],
+            got["sha256"],
+            sum(bad),
+            refused(lambda: archives.extract_member(at / "a.zip", "names.txt", at / "names.txt")),
+            refused(lambda: archives.verify_archive(at / "a.zip", said | {"sha256": "0"})),
+            refused(lambda: archives.inspect_zip(at / "names.txt")),
+        )
+    return s.createDataFrame([row], "filename string, bytes long, sha256 string, unsafe_refused int, existing_refused boolean, other_refused boolean, plain_refused boolean")
+
+
+def _single_csv(s, d):
+    """Provenance of a table exported as one CSV file, and its checksum read in parallel."""
+    with tempfile.TemporaryDirectory() as folder:
+        said = write_single_csv(s.read.parquet(f"{d}/region.parquet").orderBy("r_regionkey").select("r_regionkey", "r_name"), f"{folder}/region.csv")
+    path = shared_folder(s, "region-csv")
+    s.read.parquet(f"{d}/region.parquet").orderBy("r_regionkey").select("r_regionkey", "r_name").coalesce(1).write.option("header", True).csv(path)
+    read = files.checksums(s, f"{path}/*.csv")
+    return read.select(F.lit(said["bytes"]).cast("long").alias("exported_bytes"), F.lit(said["sha256"]).alias("exported_sha256"), "bytes", "sha256")
+
+
+def _saved_model(s, d):
+    """Test rows, and of them those that the saved and loaded model judges otherwise than the one that was fitted."""
+    stages_ = _stages(s, d).cache()
+    train, test = splits.kept(stages_, "train"), splits.kept(stages_, "test")
+    fitted = models.fit_features(train, "narrative", min_df=5, max_features=300, ngram_max=1)
+    model = models.fit_classifier(fitted.transform(train, "narrative"), "product", max_iterations=5)
+    path = shared_folder(s, "text-model")
+    models.save_text_model(s, fitted, model, path)
+    features, loaded = models.load_text_model(s, path)
+    own = models.predict(model, fitted.transform(test, "narrative"), "product", ["complaint_id"])
+    other = models.predict(loaded, features.transform(test, "narrative"), "product", ["complaint_id"])
+    both = own.join(other.select("complaint_id", F.col("prediction").alias("again"), F.col("probability").alias("p")), "complaint_id")
+    differs = (F.col("prediction") != F.col("again")) | F.exists(F.zip_with("probability", "p", lambda a, b: F.abs(a - b)), lambda x: x > 1e-9)
+    return both.agg(F.count("*").alias("rows"), F.count_if(differs).alias("differing"))
+
+
+def _kmeans_nearest(s, d):
+    """Vectors, and those that K-Means did not give to their nearest centre."""
+    rows = models.unit(ad.vectors(s, d), "vector")
+    model, _ = topics.fit_candidates(rows, [4], n_init=1, max_iterations=20)
+    centres = F.array(*[F.array(*map(F.lit, map(float, c))) for c in model.clusterCenters()])
+    own = topics.assign(model, rows.withColumn("unit", vector_to_array("features")), ["unit"])
+    away = F.transform(centres, lambda c: F.aggregate(F.zip_with(c, "unit", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x))
+    own = own.withColumn("away", away)
+    return own.agg(F.count("*").alias("rows"), F.count_if(F.element_at("away", F.col("topic_id") + 1) > F.array_min("away") + 1e-9).alias("misplaced"))
+
+
 def _validated(s, d):
     scores = _scores(s, d)
     return wh.checks(_facts(s, d).filter(F.col("date_received").between(*map(F.lit, ad.MONITOR))), scores, weekly.alerts(scores), *ad.MONITOR).withColumn("maximum_weekly_share_sum_error", F.col("maximum_weekly_share_sum_error") < 1e-8)
@@ -312,10 +381,14 @@ def queries() -> dict[str, Query]:
         "prepared_table": _prepared,
         "published_views": _published,
         "guard_outcomes": _guarded,
+        "archive_round_trip": _archived,
+        "single_csv_provenance": _single_csv,
         # topics and models
         "cluster_sizes": lambda s, d: topics.cluster_sizes(ad.assignments(s, d), 7),
         "cluster_description": lambda s, d: topics.describe(ad.assignments(s, d), 7),
         "kmeans_topics": _kmeans,
+        "kmeans_nearest": _kmeans_nearest,
+        "saved_model_agrees": _saved_model,
         "kmeans_candidates": _kmeans_candidates,
         "classifier_predictions": lambda s, d: _classifier(s, d).select("truth", "prediction"),
         "classifier_metrics": lambda s, d: metrics.summary(metrics.confusion(_classifier(s, d))),
@@ -582,6 +655,10 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'vw_alert_dashboard', (SELECT count(*) FROM s JOIN dim USING (topic_id) WHERE alert) UNION ALL SELECT 'vw_product_topic_summary', (SELECT count(*) FROM (SELECT DISTINCT product, topic_id FROM a))
             UNION ALL SELECT 'vw_weekly_overview', (SELECT count(DISTINCT week_start) FROM s) UNION ALL SELECT 'vw_model_summary', 1 UNION ALL SELECT 'vw_model_class_performance', (SELECT count(*) FROM lang)""",
         "guard_outcomes": "SELECT unnest(['text column', 'missing column', 'missing date', 'blank split rows', 'shared texts']) AS guard, true AS refuses_bad, false AS refuses_good",
+        "archive_round_trip": "WITH x AS (SELECT string_agg(n_name, chr(10) ORDER BY n_nationkey) AS t FROM nation) SELECT 'names.txt' AS filename, strlen(t) AS bytes, sha256(t) AS sha256, CAST(4 AS INTEGER) AS unsafe_refused, true AS existing_refused, true AS other_refused, true AS plain_refused FROM x",
+        "single_csv_provenance": "WITH x AS (SELECT 'r_regionkey,r_name' || chr(10) || string_agg(CAST(r_regionkey AS VARCHAR) || ',' || r_name || chr(10), '' ORDER BY r_regionkey) AS t FROM region) SELECT strlen(t) AS exported_bytes, sha256(t) AS exported_sha256, strlen(t) AS bytes, sha256(t) AS sha256 FROM x",
+        "saved_model_agrees": f"WITH {_SPLIT} SELECT count(*) AS rows, 0::BIGINT AS differing FROM st WHERE state = 'kept' AND split = 'test'",
+        "kmeans_nearest": "SELECT count(*) AS rows, 0::BIGINT AS misplaced FROM embeddings",
         "split_padded_states": f"WITH {_SPLIT} SELECT complaint_id, product, length(t) AS characters, split, state FROM st",
         "split_fit_rows": f"WITH {_SPLIT} SELECT product, count(*) AS rows, count(DISTINCT narrative_hash) AS texts FROM st WHERE state = 'kept' AND split IN ('train', 'validation') GROUP BY 1",
         "model_summary_view": f"""SELECT 'tfidf_logistic_regression' AS model_name, a.*, b.accuracy AS majority_accuracy, b.macro_f1 AS majority_macro_f1, c.expected_calibration_error, c.multiclass_log_loss, c.multiclass_brier_score, 'held-out test window' AS evaluation_scope

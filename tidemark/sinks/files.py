@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-import shutil
+import tempfile
+import uuid
 from collections.abc import Mapping
 from pathlib import Path
 
@@ -13,22 +14,37 @@ from tidemark.operators.guards import forbid_text_columns
 from tidemark.sources.archives import published, sha256_of
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path that driver and executors share, under spark.checkpoint.dir; a temporary folder only where all run on one machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="tidemark-files-")
+    return f"{found.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
 def write_csv(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """A folder of CSV parts with header, published by Spark's committer; an empty table still has its header."""
     df.write.mode("overwrite" if overwrite else "errorifexists").option("header", True).option("escape", '"').csv(path)
 
 
 def write_single_csv(df: DataFrame, path: str, overwrite: bool = False) -> dict:
-    """One CSV file for a small result, published by rename; returns its provenance."""
-    target = Path(path)
+    """One CSV file on the driver for a small result, published by rename; returns its provenance.
+
+    One task writes it to the shared folder, from which the driver copies it.
+    """
+    target, spark = Path(path), df.sparkSession
 
     def write(part: Path) -> None:
-        folder = part.with_name(part.name + ".d")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark, "single-csv"))
+        store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
         try:
-            df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(folder.resolve().as_uri())
-            shutil.move(next(folder.glob("part-*.csv")), part)
+            df.coalesce(1).write.option("header", True).option("escape", '"').csv(folder.toString())
+            written = next(f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-"))
+            store.copyToLocalFile(False, written, spark._jvm.org.apache.hadoop.fs.Path(part.resolve().as_uri()), True)
         finally:
-            shutil.rmtree(folder, ignore_errors=True)
+            store.delete(folder, True)
 
     published(target, write, overwrite)
     return provenance(target)
