@@ -81,6 +81,7 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.n
     bound = np.full(-(-(n + 1) // 8) * 8, _NONE, np.uint16)
     bound[: max(0, n - 1)] = _UNKNOWN
     rank = np.full(n + 1, n, np.int32)
+    listed = np.zeros(n + 1, bool)
     place_bits = np.uint64(n.bit_length())
     rules: list[np.ndarray] = []
     made, level = 0, 0
@@ -90,6 +91,8 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.n
         twin = np.flatnonzero(left == right)
         twins = p[twin]
         if len(twins):  # of a run of one symbol, every second place
+            twin = twin[np.argsort(twins)]
+            twins = p[twin]
             at = np.arange(len(twins))
             head = np.append(True, twins[1:] != after[twins[:-1]])
             odd = (at - np.maximum.accumulate(np.where(head, at, 0))) % 2 == 1
@@ -151,13 +154,19 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.n
         inside = beyond < n
         before[beyond[inside]] = spots[inside]
         bound[spots] = np.where(inside, _UNKNOWN, _NONE)
-        a = before[spots]
+        a = before[spots].astype(np.int64)
         a = a[a >= 0]
         bound[a] = _UNKNOWN
-        # places of this level: those there were, and those whose pair is new
-        p = np.concatenate([p, twins, spots, a])
-        p = np.sort(p[bound[p] >= min(level, _UNKNOWN)])
-        p = p[np.append(True, p[1:] != p[:-1])] if len(p) else p
+        # places of this level: those whose pair is new, and those there were
+        listed[spots] = True
+        a = a[~listed[a]]
+        listed[a] = True
+        held = p[np.repeat(count >= level, count)]
+        held = held[(bound[held] >= min(level, _UNKNOWN)) & ~listed[held]]
+        listed[held] = True
+        twins = twins[(bound[twins] == _UNKNOWN) & ~listed[twins]]
+        p = np.concatenate([held, twins, spots[inside], a])
+        listed[spots] = listed[p] = False
     return x[left_over], (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32))
 
 
@@ -327,7 +336,7 @@ class WordTable:
     A full table is emptied.
     """
 
-    BITS, PROBES = 20, 32
+    BITS, PROBES = 21, 32
     _MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
     def __init__(self, make) -> None:
