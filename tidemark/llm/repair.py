@@ -36,7 +36,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,57 +57,64 @@ MEMO_WORDS = 400_000
 _HEAD = struct.Struct("<6I")
 #: Bounds of a pair's occurrences that stand for "not known" and "no pair begins here".
 _UNKNOWN, _NONE = 65535, 0
-
-
-def _places(mask: np.ndarray) -> np.ndarray:
-    """Where a sparse mask, of a length that eight divides, is true."""
-    eights = np.flatnonzero(mask.view(np.uint64))
-    inner = np.flatnonzero(mask.reshape(-1, 8)[eights])
-    return (eights[inner >> 3] << 3) | (inner & 7)
+#: Above the code of every pair.
+_LAST = np.uint64((1 << 64) - 1)
 
 
 def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """The sequence left and the rules (n x 2) of a Re-Pair grammar of ids, all of them below first.
 
     Symbols stay where they are and are chained to the next and the previous
-    one left.  A pair of symbols occurs less and less often after the round that
+    one left; beside each stands the next symbol, so that a place's pair is one
+    number.  A pair of symbols occurs less and less often after the round that
     made it, so places whose pair is known to be too rare for a level are not
-    counted again before the level sinks.
+    counted again before the level sinks.  Places to be changed are taken in
+    ascending order, which is several times as fast as in the order of pairs.
     """
     n = len(ids)
-    x, left_over = ids.astype(np.uint32), np.ones(n, bool)
-    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)  # n and -1 stand beyond the ends
-    bound = np.full(-(-(n + 1) // 8) * 8, _NONE, np.uint16)
+    pair = np.zeros(n + 1, "<u8")  # symbol << 32 | next symbol
+    right, left = pair.view("<u4").reshape(-1, 2).T
+    left[:n] = ids
+    right[:n] = left[1:]
+    left_over = np.ones(n, bool)
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n, dtype=np.int32)  # n and -1 stand beyond the ends
+    bound = np.full(n + 1, _NONE, np.uint16)
     bound[: max(0, n - 1)] = _UNKNOWN
     rank = np.full(n + 1, n, np.int32)
     listed = np.zeros(n + 1, bool)
     place_bits = np.uint64(n.bit_length())
+    place_mask, half, low = np.uint64((1 << int(place_bits)) - 1), np.uint64(32), np.uint64(0xFFFFFFFF)
     rules: list[np.ndarray] = []
     made, level = 0, 0
     p = np.arange(max(0, n - 1))
     while True:
-        left, right = x[p], x[after[p]]
-        twin = np.flatnonzero(left == right)
-        twins = p[twin]
+        own_pair = pair[p]
+        own_left = own_pair >> half
+        own_pair &= low
+        twin = np.flatnonzero(own_left == own_pair)
+        bits = np.uint64((first + made).bit_length())
+        code = own_left
+        code <<= bits
+        code |= own_pair
+        twins, odd = p[twin], twin
         if len(twins):  # of a run of one symbol, every second place
             twin = twin[np.argsort(twins)]
             twins = p[twin]
             at = np.arange(len(twins))
             head = np.append(True, twins[1:] != after[twins[:-1]])
-            odd = (at - np.maximum.accumulate(np.where(head, at, 0))) % 2 == 1
-            if odd.any():
-                stay = np.ones(len(p), bool)
-                stay[twin[odd]] = False
-                p, left, right = p[stay], left[stay], right[stay]
-        bits = np.uint64((first + made).bit_length())
-        code = (left.astype(np.uint64) << bits) | right
+            odd = twin[np.flatnonzero((at - np.maximum.accumulate(np.where(head, at, 0))) & 1)]
+        kept = len(p) - len(odd)  # the others are sorted behind all pairs
         if 2 * int(bits) + int(place_bits) <= 64:
             code <<= place_bits
             code |= p.view(np.uint64)
+            code[odd] = _LAST
             code.sort()
-            p, code = (code & np.uint64((1 << int(place_bits)) - 1)).view(np.int64), code >> place_bits
+            code = code[:kept]
+            p = (code & place_mask).view(np.int64)
+            code >>= place_bits
         else:
-            order = np.argsort(code, kind="stable")
+            code[odd] = _LAST
+            order = np.argsort(code, kind="stable")[:kept]
             p, code = p[order], code[order]
         cut = np.append(np.flatnonzero(np.append(True, code[1:] != code[:-1])), len(code)) if len(code) else np.zeros(1, np.int64)
         count = np.diff(cut)
@@ -120,54 +126,62 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.n
             if level <= least:
                 break
             level = max(least, level // 2)
-            p = _places(bound >= min(level, _UNKNOWN))
+            p = np.flatnonzero(bound >= min(level, _UNKNOWN))
             continue
         hot = hot[np.argsort(-count[hot], kind="stable")]
         size, begin = count[hot], cut[hot]
-        spots = p[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-        own = np.repeat(np.arange(len(hot), dtype=np.int32), size)
-        rank[spots] = own
+        found = p[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].view(np.uint64)
+        found <<= half
+        found |= np.repeat(np.arange(len(hot), dtype=np.uint64), size)
+        found.sort()
+        own, found = (found & low).astype(np.int32), (found >> half).view(np.int64)
+        rank[found] = own
         taken, ranks = [], []
-        a, b = before[spots].astype(np.int64), after[spots].astype(np.int64)
+        spots, a, b = found, before[found].astype(np.int64), after[found].astype(np.int64)
         while len(spots):  # a place goes to the more frequent of the pairs that overlap there
-            wins = (own < rank[a]) & (own < rank[b])
+            wins = np.flatnonzero((own < rank[a]) & (own < rank[b]))
             taken.append(spots[wins])
             ranks.append(own[wins])
             for places in (taken[-1], a[wins], b[wins]):
                 rank[places] = n
-            left_out = rank[spots] < n
+            left_out = np.flatnonzero(rank[spots] < n)
             spots, own, a, b = spots[left_out], own[left_out], a[left_out], b[left_out]
         spots, own = np.concatenate(taken), np.concatenate(ranks)
         used = np.bincount(own, minlength=len(hot)) >= least  # the most frequent one always is
-        number = np.cumsum(used) - 1 + first + made
-        stay = used[own]
-        spots, own = spots[stay], own[stay]
+        number = (np.cumsum(used) - 1 + first + made).astype(np.uint32)
+        if not used.all():
+            stay = np.flatnonzero(used[own])
+            spots, own = spots[stay], own[stay]
         pairs = code[begin[used]]
         rules.append(np.stack([pairs >> bits, pairs & np.uint64((1 << int(bits)) - 1)], 1).astype(np.uint32))
         made += len(pairs)
-        x[spots] = number[own]
+        symbols = number[own]
         gone = after[spots].astype(np.int64)
-        beyond = after[gone]
+        beyond = after[gone].astype(np.int64)
         left_over[gone] = False
         bound[gone] = _NONE
         after[spots] = beyond
-        inside = beyond < n
-        before[beyond[inside]] = spots[inside]
-        bound[spots] = np.where(inside, _UNKNOWN, _NONE)
+        before[beyond] = spots
+        left[spots] = symbols
+        right[spots] = left[beyond]
         a = before[spots].astype(np.int64)
-        a = a[a >= 0]
+        inner = np.flatnonzero(a >= 0)
+        a = a[inner]
+        right[a] = symbols[inner]
+        spots = spots.compress(beyond < n)
         bound[a] = _UNKNOWN
+        bound[spots] = _UNKNOWN
+        bound[before[n]] = _NONE
         # places of this level: those whose pair is new, and those there were
         listed[spots] = True
-        a = a[~listed[a]]
+        a = a.compress(~listed[a])
         listed[a] = True
-        held = p[np.repeat(count >= level, count)]
-        held = held[(bound[held] >= min(level, _UNKNOWN)) & ~listed[held]]
+        held = found.compress((bound[found] >= min(level, _UNKNOWN)) & ~listed[found])
         listed[held] = True
-        twins = twins[(bound[twins] == _UNKNOWN) & ~listed[twins]]
-        p = np.concatenate([held, twins, spots[inside], a])
-        listed[spots] = listed[p] = False
-    return x[left_over], (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32))
+        twins = twins.compress((bound[twins] == _UNKNOWN) & ~listed[twins])
+        p = np.concatenate([held, twins, spots, a])
+        listed[p] = False
+    return left[:n][left_over], (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32))
 
 
 def _lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -225,42 +239,39 @@ class Section:
         self.sequence = np.frombuffer(data, kind, symbols, at)
         at += symbols * width
         self.index = np.frombuffer(data, "<u8", -(-symbols // self.step), at).astype(np.int64)
-        self._expanded: tuple[np.ndarray, np.ndarray] | None = None
+        self._expanded: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
-    def _table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Where each rule's expansion begins, and all expansions one after another."""
+    def _table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How long each symbol's expansion is, where it begins, and all expansions one after another."""
         if self._expanded is None:
-            begin = np.cumsum(self.lengths) - self.lengths
-            flat = np.zeros(int(self.lengths.sum()), np.uint32)
+            sizes = np.append(np.ones(self.first, np.int64), self.lengths)
+            begin = np.cumsum(sizes) - sizes
+            flat = np.zeros(int(sizes.sum()), np.uint32)
+            flat[: self.first] = self.terminals
+            self._expanded = sizes, begin, flat
             done = 0
             while done < len(self.rules):
                 most = self.rules[done:].max(1) - self.first
                 stop = done + int(np.argmax(np.append(most >= done, True)))
-                both = self.rules[done:stop].reshape(-1)
-                flat[begin[done] : begin[stop] if stop < len(begin) else len(flat)] = self._expand(both, begin, flat)
+                both = self._expand(self.rules[done:stop].reshape(-1))
+                flat[begin[self.first + done] :][: len(both)] = both
                 done = stop
-            self._expanded = begin, flat
         return self._expanded
 
-    def _expand(self, symbols: np.ndarray, begin: np.ndarray, flat: np.ndarray) -> np.ndarray:
-        rule = symbols.astype(np.int64) - self.first
-        is_rule = rule >= 0
-        if not is_rule.any():
-            return self.terminals[symbols]
-        safe = np.maximum(rule, 0)
-        sizes = np.where(is_rule, self.lengths[safe], 1)
-        ends = np.cumsum(sizes)
-        source = np.repeat(np.where(is_rule, begin[safe], 0) - (ends - sizes), sizes) + np.arange(int(ends[-1]))
-        out = flat[np.minimum(source, len(flat) - 1)]
-        out[(ends - sizes)[~is_rule]] = self.terminals[symbols[~is_rule]]
-        return out
+    def _expand(self, symbols: np.ndarray) -> np.ndarray:
+        sizes, begin, flat = self._table()
+        symbols = symbols.astype(np.int64)
+        own = sizes[symbols]
+        ends = np.cumsum(own)
+        source = np.repeat(begin[symbols] - (ends - own), own)
+        source += np.arange(len(source))
+        return flat[source]
 
     def decode(self, start: int, end: int) -> np.ndarray:
         """Tokens from start to end; only the symbols that cover them are expanded."""
         low = int(np.searchsorted(self.index, start, "right") - 1)
         high = int(np.searchsorted(self.index, end, "left"))
-        begin, flat = self._table()
-        part = self._expand(self.sequence[low * self.step : high * self.step], begin, flat)
+        part = self._expand(self.sequence[low * self.step : high * self.step])
         skip = start - int(self.index[low])
         return part[skip : skip + end - start]
 
@@ -350,12 +361,13 @@ class WordTable:
     def _find(self, keys: list[np.ndarray], slot: np.ndarray) -> np.ndarray:
         """Where each word's ids stand (start << 8 | count), 0 for unknown words."""
         out = np.zeros(len(slot), np.uint64)
-        left = np.arange(len(slot))
+        left: np.ndarray | slice = slice(None)
         for step in range(self.PROBES):
-            row = self.slots[(slot[left] + step) & (len(self.slots) - 1)]
+            row = self.slots.take((slot[left] + step) & (len(self.slots) - 1), 0)
             same = (row[:, 0] == keys[0][left]) & (row[:, 1] == keys[1][left]) & (row[:, 2] == keys[2][left])
-            out[left[same]] = row[same, 3]
-            left = left[~same & (row[:, 0] != 0)]
+            out[left] = row[:, 3] * same
+            other = np.flatnonzero(~same & (row[:, 0] != 0))
+            left = left[other] if step else other
             if not len(left):
                 break
         return out
@@ -387,9 +399,16 @@ class WordTable:
             self.clear()
         sizes = ends - starts
         eights = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,))
-        keys = [eights[starts + 8 * i] & self._MASK[np.clip(sizes - 8 * i, 0, 8)] for i in range(3)]
-        with np.errstate(over="ignore"):
-            slot = (mixed(keys[0] ^ mixed(keys[1] ^ mixed(keys[2]))) >> np.uint64(64 - self.BITS)).astype(np.int64)
+        keys = [eights[starts] & self._MASK[np.minimum(sizes, 8)], np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)]
+        hashes = keys[0]
+        longer = np.flatnonzero(sizes > 8)
+        if len(longer):
+            at, rest = starts[longer], sizes[longer]
+            more = [eights[at + 8 * i] & self._MASK[np.clip(rest - 8 * i, 0, 8)] for i in (1, 2)]
+            keys[1][longer], keys[2][longer] = more
+            hashes = hashes.copy()
+            hashes[longer] ^= mixed(more[0] ^ mixed(more[1]))
+        slot = (mixed(hashes) >> np.uint64(64 - self.BITS)).astype(np.int64)
         found = self._find(keys, slot)
         short = sizes <= 24
         found[~short] = 0
@@ -435,16 +454,22 @@ class Encoder:
         split = steps[0].get("pattern", {}).get("Regex") if steps else None
         self.by_chunk = kinds == ["NFC", "Replace", "Lowercase"] and split == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" and not any(x["lstrip"] or x["rstrip"] for x in said["added_tokens"])
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.letters = np.arange(256, dtype="<u4")  # the library's letter for each byte of plain texts
+        for c in range(0xC0, 0x100):
+            self.letters[list(chr(c).encode())] = [ord(x) for x in level.pre_tokenize_str(chr(c))[0][0]]
         self.special = [x["content"] for x in said["added_tokens"]]
         self.chunks, self.table = _Memo(self._whole), WordTable(self._words)
 
     def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces one after another, and how many each has."""
         tokenize = self.tokenizer.model.tokenize
-        texts = [w.decode() for w in words]
-        own = [[t.id for t in tokenize(x if x.isascii() else x.translate(self.letters))] for x in texts]
-        return np.fromiter(chain.from_iterable(own), np.uint32), np.fromiter(map(len, own), np.int64, len(own))
+        texts = self.letters[np.frombuffer(b" ".join(words), np.uint8)].tobytes().decode("utf-32-le").split(" ")
+        ids: list[int] = []
+        ends = [0]
+        for x in texts:
+            ids += [t.id for t in tokenize(x)]
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(ends)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if text else b""
