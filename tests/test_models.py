@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,33 @@ def test_retrieval_metrics(spark):
         retrieval.require_no_overlap(v, v, "doc_id")
 
 
+def test_dense_search_meets_blocks_and_keeps_the_order_of_sql(spark):
+    """Copies tie by id, undefined similarities come first and missing ones last; no pair is a row of the plan."""
+    rows = [(i, [float(i % 7 - 3), float(i % 5), 1.0 + i % 3]) for i in range(3000)] + [(3000, [0.0, 0.0, 0.0]), (3001, None), (3002, [1.0, None, 2.0]), (3003, [])]
+    v = spark.createDataFrame(rows, "doc_id long, vector array<double>")
+    got = retrieval.dense_top_k(v.filter("doc_id % 500 = 0 OR doc_id >= 3000"), v, 4)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+    def unit(x):
+        size = math.sqrt(sum(y * y for y in x if y is not None))
+        return [y and y / size if size else math.nan for y in x]
+
+    units = {i: unit(x) if x else [] for i, x in rows}
+    for q in sorted({r.query_id for r in got.collect()} | {0, 3000, 3001, 3002, 3003}):
+        want = []
+        for i, u in units.items():
+            terms = [a * b for a, b in zip(units[q], u) if a is not None and b is not None]
+            if i != q:
+                total = 0.0
+                for t in terms:
+                    total += t
+                want.append((2.0 if not terms else -9.0 if math.isnan(total) else -total, i))
+        mine = [(2.0 if r.similarity is None else -9.0 if math.isnan(r.similarity) else -r.similarity, r.doc_id) for r in got.filter(F.col("query_id") == q).orderBy("rank").collect()]
+        assert mine == sorted(want)[:4], q
+    assert retrieval.dense_top_k(v.filter("doc_id = 2"), v.filter("doc_id < 3000"), 1, own=True).first().doc_id == 2
+    assert retrieval.dense_top_k(v.filter("doc_id = 2"), v.filter("doc_id < 3000"), 1).first().doc_id == 107
+
+
 def test_topics(spark):
     texts = [(i, t) for i, t in enumerate(["card fee", "card fee late", "card charge fee", "loan payment", "loan rate payment", "loan payment due"])]
     df = spark.createDataFrame(texts, "id long, narrative string")
