@@ -85,6 +85,15 @@ def test_dense_search_meets_blocks_and_keeps_the_order_of_sql(spark):
     assert retrieval.dense_top_k(v.filter("doc_id = 2"), v.filter("doc_id < 3000"), 1).first().doc_id == 107
 
 
+def test_judged_search_has_no_pairs_as_rows(spark):
+    v = spark.range(400).select(F.col("id").alias("doc_id"), F.array(F.sin("id"), F.cos("id")).alias("vector"), (F.col("id") % 3).cast("string").alias("product"))
+    corpus, test = v.filter("doc_id % 20 <> 0"), v.filter("doc_id % 20 = 0")
+    rows = retrieval.judged(retrieval.dense_top_k(test, corpus, 5), test, corpus, "product")
+    for out in (retrieval.summary(rows, corpus, "product"), retrieval.by_class(rows)):
+        assert "zip_with" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert retrieval.summary(rows, corpus, "product").first().query_rows == 20
+
+
 def test_topics(spark):
     texts = [(i, t) for i, t in enumerate(["card fee", "card fee late", "card charge fee", "loan payment", "loan rate payment", "loan payment due"])]
     df = spark.createDataFrame(texts, "id long, narrative string")
