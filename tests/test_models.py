@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.ml.feature import IDF
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics, models, retrieval, topics
@@ -110,6 +111,16 @@ def test_topics(spark):
         topics.fit_candidates(rows, [1])
 
 
+def test_features_are_fitted_in_one_pass_over_the_texts(spark):
+    """The vocabulary goes by count, then term, and the idf is that of Spark's estimator."""
+    df = spark.createDataFrame([("bb aa cc",), ("aa bb",), ("aa dd dd",), (None,)], "narrative string")
+    f = models.fit_features(df, "narrative", min_df=1, max_features=3, ngram_max=1)
+    assert f.vocabulary == ["aa", "bb", "dd"]
+    plain = IDF(inputCol="__counts", outputCol="__idf").fit(f.counts.transform(f.terms(df, "narrative")))
+    assert f.idf.idf.toArray().tolist() == pytest.approx(plain.idf.toArray().tolist()) and list(f.idf.docFreq) == list(plain.docFreq) and f.idf.numDocs == plain.numDocs
+    assert f.transform(df.withColumn("more", F.lit(1)), "narrative", ["more"]).columns == ["more", "features"]
+
+
 def test_classifier_learns_and_checks_c(spark):
     df = spark.createDataFrame([("card fee", "card"), ("card charge", "card"), ("loan rate", "loan"), ("loan due", "loan")], "narrative string, product string")
     f = models.fit_features(df, "narrative", min_df=1, ngram_max=1)

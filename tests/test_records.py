@@ -69,3 +69,11 @@ def test_windows_must_be_ordered_and_disjoint():
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="nothing"):
         guards.require_columns(spark.range(1), ["id", "nothing"])
+
+
+def test_outer_space_is_that_of_the_regular_expression(spark):
+    """Trimmed by a list of characters: a search for runs of white space visits every run of a text."""
+    rows = [(chr(c) + "a \n b" + chr(c) * 2 + "\n",) for c in range(0x3100) if not 0xD800 <= c < 0xE000] + [("",), (" \t",)]
+    df = spark.createDataFrame(rows, "t string").coalesce(1)
+    assert df.filter(stripped(F.col("t")) != F.regexp_replace("t", r"(?U)^\s+|\s+$", "")).count() == 0
+    assert "regexp" not in df.select(stripped(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-OUTER_SPACE = r"(?U)^\s+|\s+$"
+#: All characters of Unicode's White_Space, which are those of (?U)\s.
+OUTER_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: What counts as a token for the classifier and for topics.
 CLASSIFIER_TOKEN = r"(?U)\b\w\w+\b"
 TOPIC_TOKEN = r"(?U)\b[a-zA-Z][a-zA-Z]+\b"
@@ -16,7 +17,7 @@ TOPIC_TOKEN = r"(?U)\b[a-zA-Z][a-zA-Z]+\b"
 
 def stripped(text: Column) -> Column:
     """Without outer white space; null becomes ''."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), OUTER_SPACE, "")
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(OUTER_SPACE))
 
 
 def is_blank(text: Column) -> Column:
